@@ -1,5 +1,64 @@
-"""Corpus pipeline (filled in below)."""
-STAGES = []
+"""The corpus pipeline: language ID, near-dedup, mixing, SentencePiece.
+
+``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir)
+and returns a DataFrame, which is written and read again before the next.  All
+but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodeworks.llm import langid, minhash, mixing, pieces
+from lodeworks.llm.queries import tokenizer_file
+from lodeworks.llm.storage import stash
+
+#: A text whose main language holds less than this share of its letters is rejected.
+MIN_SHARE = 1 / 3
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts without a letter or without a main language.
+
+    The model learns from the labelled documents outside one fold; the labels
+    of documents are not read when they are judged.
+    """
+    names = docs.columns
+    model = langid.fit(docs.where(langid.crc_mod(F.col("doc_id"), 3) != 1), "text", "lang", "doc_id")
+    judged = langid.predict(docs, model, keep_text=True)
+    return judged.where((F.col("_lang_pred") != langid.UNDETERMINED) & (F.col("_score") >= MIN_SHARE)).select(*[f"`{c}`" for c in names])
+
+
+def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near duplicates, that of the least id."""
+    return minhash.keep_one(docs)
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixes the sources to weights 1, 2, 3: a document stands there as often
+    as the mix takes it."""
+    return mixing.mix_documents(docs)
+
+
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, ids, n_pieces, round_trip) of every document: its piece ids,
+    and whether they decode to its text."""
+    model = tokenizer_file("piece_bpe_32k.model")
+    got = pieces.decode(pieces.encode(docs, model), model)
+    return got.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"),
+                      (F.crc32(F.col("decoded").cast("binary")) == F.col("text_crc32")).alias("round_trip"))
+
+
+STAGES = [("language_id", language_stage), ("near_dedup", dedup_stage), ("source_mix", mix_stage), ("sentencepiece", encode_stage)]
+
+#: SQL cannot express the stages; tests compare them with brute-force versions.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stash(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -50,6 +50,12 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roundtrip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pages import main_text
+
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .media import with_features, with_media
 
@@ -59,6 +65,15 @@ def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.concat_ws(":", F.size(codes).cast("string"), F.lower(F.hex(F.xxhash64(codes)))).alias("feature"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pieces import decode, encode
+
+    model = tokenizer_file("piece_bpe_32k.model")
+    got = decode(encode(_table(spark, sf_dir, "documents"), model), model)
+    return got.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+                      (F.crc32(F.col("decoded").cast("binary")) == F.col("text_crc32")).alias("round_trip"))
+
+
 def op4_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .vectors import near_vectors
 
@@ -71,12 +86,21 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_copies", "kept")
 
 
+def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ppm import score
+
+    return score(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_source_mix": op2_source_mix,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_vector_dedup": op4_vector_dedup,
     "op5_language_id": op5_language_id,
     "op6_warc": op6_warc,
+    "op7_main_text": op7_main_text,
     "op8_media": op8_media,
     "op9_minhash": op9_minhash,
+    "op10_ppm": op10_ppm,
 }

@@ -1,0 +1,5 @@
+"""No streaming operators: every source of this pipeline is a bounded delivery.
+
+Freshness and observation cut-offs, the only notions of time passing, are
+batch predicates over an injected ``now`` (``functions.times.freshness``).
+"""

@@ -7,6 +7,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def strip(c: Column) -> Column:
@@ -47,7 +48,7 @@ def phone(c: Column) -> Column:
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _fold_wide(s: pd.Series) -> pd.Series:
     """Compatibility decomposition to ASCII letters and digits."""
     folded = s.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii").str.casefold()
@@ -125,7 +126,7 @@ def token(key: bytes, prefix: str, *values: Column, length: int = 20) -> Column:
     if len(key) < 32:
         raise ValueError("the key must have at least 32 bytes")
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def run(message: pd.Series) -> pd.Series:
         import hashlib
         import hmac

@@ -1,52 +1,14 @@
-"""Shared scratch space and byte files.
-
-Scratch tables and files go below ``spark.checkpoint.dir``, which every
-executor of a cluster shares.  A directory of our own is used only where that
-setting is absent, as in a local test session.
-"""
+"""Byte files in shared storage; scratch tables come from the core package."""
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from urllib.parse import unquote, urlparse
 
-from pyspark.sql import DataFrame, SparkSession
-
-_OWN: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, or a temporary one if unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN:
-        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="lodeworks-")
-    return _OWN[app]
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path (not yet created) for one run of one operator."""
-    return f"{shared_dir(spark)}/lodeworks/{name}-{uuid.uuid4().hex}"
-
-
-def stash(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
-
-    This cuts the lineage: a lost executor costs the files of running tasks
-    only, since committed files stay in shared storage.
-    """
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from ..sources.scratch import scratch, shared_dir, stash
 
+__all__ = ["local_path", "map_array", "open_bytes", "scratch", "shared_dir", "stash", "write_bytes"]
 
 def local_path(uri: str) -> str | None:
     """The plain path of a ``file:`` URI or bare path, None for other stores."""

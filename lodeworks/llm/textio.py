@@ -93,7 +93,8 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit polynomial hash of each span, the same wherever it stands.
+    """A 64-bit polynomial hash of each span of bytes or code points, the same
+    wherever it stands.
 
     Horner's polynomial sum(byte * M**(end - i)) is a difference of prefix
     sums once each byte is weighted with the inverse power of its place.

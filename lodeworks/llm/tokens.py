@@ -12,7 +12,6 @@ The base of a shard is the prefix sum of the token counts of those before it.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -22,62 +21,84 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storage import map_array, scratch, write_bytes
+from .textio import flat, slices, word_hashes
+from .unitcache import UnitIds
 
-#: Distinct units whose ids a worker remembers, and the longest unit kept.
-CACHE_UNITS = 400_000
-CACHE_CHARS = 64
-#: Text of one shard, in bytes.
-SHARD_BYTES = 32 << 20
+#: Distinct units whose ids a worker remembers, and bytes of text encoded at a time.
+CACHE_UNITS = 600_000
+SLICE_BYTES = 1 << 20
 _STATE: dict = {}
-_ODD = re.compile(r" (?:\s|\Z)")
 
 
-def units(text: str) -> list[str]:
-    """Cut a text where the byte-level pre-tokenizer always cuts: before a
-    space that a non-space character follows.  Encoding the units one by one
-    gives the ids of the whole text."""
-    parts = text.split(" ")
-    out = [parts[0]]
-    for p in parts[1:]:
-        if p and not p[0].isspace():
-            out.append(" " + p)
-        else:
-            out[-1] += " " + p
-    return out
+#: First bytes of the UTF-8 of white space beyond ASCII; a letter may begin with them too.
+_MAYBE_SPACE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
+_WORD = np.array([chr(i).isalnum() for i in range(128)] + [False] * 128)
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 28, 29, 30, 31, 32])
 
 
-def fast_units(text: str) -> list[str]:
-    """:func:`units`, by one pass in C where no space precedes white space or the end."""
-    if _ODD.search(text):
-        return units(text)
-    parts = text.split(" ")
-    return parts[:1] + [" " + p for p in parts[1:]]
+def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where units begin in UTF-8 bytes of texts: places that the byte-level
+    pre-tokenizer always cuts.
+
+    These are starts of texts, spaces before what is not white space, both
+    sides of a line end between others, and full stops and commas after a
+    letter or digit.  Characters beyond ASCII count as letters only if they are
+    sure to be (two bytes from 0xC3, without the two signs there), and as white
+    space if they may be.
+    """
+    n = len(data)
+    begin = np.zeros(n + 1, bool)
+    begin[offsets] = True
+    if not n:
+        return np.empty(0, np.int64)
+    edge = begin.copy()
+    blank, word = _BLANK[data], _WORD[data]
+    if n > 1:
+        letter = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        word[1:] |= letter
+    after = np.ones(n, bool)  # the next byte, of the same text, is surely not white space
+    after[:-1] = ~blank[1:] & ~_MAYBE_SPACE[data[1:]]
+    after[edge[1:]] = False
+    before = np.zeros(n, bool)  # the byte before, of the same text, ends a letter or digit
+    before[1:] = word[:-1]
+    before[edge[:n]] = False
+    plain = np.zeros(n, bool)  # the byte before is surely not white space
+    plain[1:] = word[:-1] | ((data[:-1] < 128) & ~blank[:-1])
+    plain[edge[:n]] = False
+    begin[:n] |= (data == 32) & after
+    line = (data == 10) & plain & after
+    begin[:n] |= line
+    begin[1:] |= line
+    begin[:n] |= ((data == 46) | (data == 44)) & before
+    return np.flatnonzero(begin[:n])
 
 
 class Encoder:
-    """Ids of texts as bytes of ``dtype``, with a bounded memory of units."""
+    """Ids of texts, with a bounded memory of units."""
 
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer
 
-        self.tok, self.dtype, self.known = Tokenizer.from_file(path), np.dtype(dtype), {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [fast_units(t) if t else [] for t in texts]
-        known = self.known
-        new = list(set().union(*cut).difference(known)) if cut else []
-        if len(known) + len(new) > CACHE_UNITS:
-            known = self.known = {}
-            new = list(set().union(*cut))
-        extra = {}
-        for lo in range(0, len(new), 20_000):
-            part = new[lo : lo + 20_000]
-            for unit, enc in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                (known if len(unit) <= CACHE_CHARS else extra)[unit] = np.array(enc.ids, self.dtype).tobytes()
-        if extra:
-            known = {**known, **extra}
-        get = known.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
+        self.tok, self.known = Tokenizer.from_file(path), UnitIds(dtype, CACHE_UNITS)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each), from UTF-8 bytes."""
+        starts = cuts(data, offsets)
+        if not len(starts):
+            return np.empty(0, self.known.dtype), np.zeros(len(offsets) - 1, np.int64)
+        ends = np.append(starts[1:], len(data))
+        raw = data.tobytes()
+
+        def new(at: np.ndarray) -> list[np.ndarray]:
+            out = []
+            for lo in range(0, len(at), 20_000):
+                part = [raw[i:j].decode() for i, j in zip(starts[at[lo : lo + 20_000]], ends[at[lo : lo + 20_000]])]
+                out += [np.array(e.ids, self.known.dtype) for e in self.tok.encode_batch_fast(part, add_special_tokens=False)]
+            return out
+
+        ids, size = self.known.ids(word_hashes(data, starts, ends), new)
+        upto = np.concatenate([[0], np.cumsum(size)])
+        return ids, np.diff(upto[np.searchsorted(starts, offsets)])
 
 
 def encoder(path: str, dtype: str) -> Encoder:
@@ -94,41 +115,39 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key: str = "
 
     ``dtype`` must hold the tokenizer's ids.  A null or empty text has only the
     end id.  Null keys come first and are counted in ``nulls``.  Rows of equal
-    key stand in order of their texts.  ``shards`` defaults to one for each
-    ``SHARD_BYTES`` of text.  The tokenizer file must be at the same path on
+    key stand in order of their texts.  ``shards`` defaults to Spark's number
+    of shuffle partitions, which adaptive execution may lower.  The tokenizer file must be at the same path on
     every executor.
     """
-    if shards is None:
-        total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
-        shards = max(1, -(-total // SHARD_BYTES))
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"))
-    rows = rows.repartitionByRange(shards, F.col("k").asc_nulls_first()).sortWithinPartitions(F.col("k").asc_nulls_first(), F.col("t").asc_nulls_first())
+    order = F.col("k").asc_nulls_first()
+    rows = (rows.repartitionByRange(shards, order) if shards else rows.repartitionByRange(order)).sortWithinPartitions(order, F.col("t").asc_nulls_first())
 
     def write(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
         part, enc = TaskContext.get().partitionId(), encoder(tokenizer, dtype)
-        end = np.array([end_id], dtype).tobytes()
+        end = np.dtype(dtype).type(end_id)
         path, keys, sizes, nulls = f"{folder}/part-{part:06d}", [], [], 0
 
         def chunks():
             nonlocal nulls
             for batch in batches:
-                for lo in range(0, batch.num_rows, 512):
-                    piece = batch.slice(lo, 512)
-                    ks = piece.column(0)
-                    nulls += ks.null_count
-                    keys.append(np.array(ks.fill_null(0).to_numpy(zero_copy_only=False), "<i8"))
-                    for ids in enc.encode(piece.column(1).to_pylist()):
-                        sizes.append((len(ids) + len(end)) // enc.dtype.itemsize)
-                        yield ids + end
+                ks = batch.column(0)
+                nulls += ks.null_count
+                keys.append(np.array(ks.fill_null(0).to_numpy(zero_copy_only=False), "<i8"))
+                data, offsets = flat(batch.column(1))
+                for lo, hi in slices(offsets, SLICE_BYTES):
+                    ids, size = enc.encode(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+                    sizes.append(size + 1)
+                    # the end id goes behind each text
+                    yield np.insert(ids, np.cumsum(size), end).tobytes()
 
         write_bytes(f"{path}.tok", chunks())
-        offsets = np.zeros(len(sizes) + 1, "<i8")
-        np.cumsum(sizes, out=offsets[1:])
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))] if sizes else [[0]]).astype("<i8")
         write_bytes(f"{path}.off", [offsets.tobytes()])
         write_bytes(f"{path}.doc", [np.concatenate(keys).tobytes() if keys else b""])
-        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "path": [path], "docs": pa.array([len(sizes)], pa.int64()),
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "path": [path], "docs": pa.array([len(offsets) - 1], pa.int64()),
                                           "nulls": pa.array([nulls], pa.int64()), "tokens": pa.array([int(offsets[-1])], pa.int64())})
 
     return rows.mapInArrow(write, "part long, path string, docs long, nulls long, tokens long")

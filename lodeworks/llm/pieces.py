@@ -24,10 +24,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .textio import word_hashes
+from .unitcache import UnitIds
+
 SPACE = "▁"
-#: Distinct units that a worker remembers, and the longest that it does.
-CACHE_UNITS = 400_000
-CACHE_CHARS = 64
+#: Distinct units that a worker remembers.
+CACHE_UNITS = 1_500_000
 #: Characters that are indexed at a time.
 INDEX_CHARS = 1 << 20
 _START, _UNKNOWN = -2, -1
@@ -115,6 +117,11 @@ class PieceModel:
         self.code = np.full(0x110000, len(chars) + 1, np.uint16)
         self.code[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
         self.unknown_code = len(chars) + 1
+        # marks neighbours inside pieces; a false mark only makes units longer
+        self.beside = np.zeros(1 << 20, bool)
+        for p in self.ids:
+            c = self.code[[ord(x) for x in p]].astype(np.int64)
+            self.beside[(c[:-1] * 40_503 + c[1:]) & (len(self.beside) - 1)] = True
         self._known: tuple[np.ndarray, np.ndarray] = (np.empty(0, np.int64), np.empty(0, bool))
 
     # --- BPE ---------------------------------------------------------------
@@ -346,38 +353,30 @@ class PieceModel:
 
     # --- texts -------------------------------------------------------------
 
-    def units(self, text: str) -> list[str]:
-        """Cut a text, its spaces marked, before each run of marks: no piece
-        goes beyond."""
-        if self.collapse:
-            text = " ".join(filter(None, text.split(" ")))
-        if not text:
-            return []
-        parts = ((" " if self.dummy_prefix else "") + text).replace(" ", SPACE).split(SPACE)
-        out = [parts[0]] if parts[0] else []
-        run = SPACE
-        for p in parts[1:]:
-            if p:
-                out.append(run + p)
-                run = SPACE
-            else:
-                run += SPACE
-        if len(run) > 1:
-            out.append(run[1:])
-        return out
+    def encode(self, texts: list[str], known: UnitIds) -> list[np.ndarray]:
+        """The ids of each text; ``known`` remembers units between calls.
 
-    def encode(self, texts: list[str], known: dict[str, bytes]) -> list[np.ndarray]:
-        """The ids of each text; ``known`` remembers units between calls."""
-        cut = [self.units(t) for t in texts]
-        new = list(set().union(*cut).difference(known))
-        if len(known) + len(new) > CACHE_UNITS:
-            known.clear()
-            new = list(set().union(*cut))
-        extra: dict[str, bytes] = {}
-        for unit, ids in zip(new, self.encode_units(new)):
-            (known if len(unit) <= CACHE_CHARS else extra)[unit] = ids.astype("<i4").tobytes()
-        get = ({**known, **extra} if extra else known).__getitem__
-        out = [np.frombuffer(b"".join(map(get, c)), "<i4") for c in cut]
+        Texts are cut between neighbours that stand side by side in no piece,
+        such as before a space mark or beside a character without a piece.
+        """
+        if self.collapse:
+            texts = [" ".join(filter(None, t.split(" "))) for t in texts]
+        head = SPACE if self.dummy_prefix else ""
+        marked = [head + t.replace(" ", SPACE) if t else "" for t in texts]
+        offsets = np.concatenate([[0], np.cumsum(np.fromiter(map(len, marked), np.int64, len(marked)))])
+        joined = "".join(marked)
+        if not joined:
+            return [np.empty(0, np.int32) for _ in texts]
+        cp = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = self.code[cp].astype(np.int64)
+        begin = np.ones(len(cp) + 1, bool)
+        begin[1:-1] = ~self.beside[(codes[:-1] * 40_503 + codes[1:]) & (len(self.beside) - 1)]
+        begin[offsets] = True
+        starts = np.flatnonzero(begin[:-1])
+        ends = np.append(starts[1:], len(cp))
+        ids, size = known.ids(word_hashes(cp, starts, ends), lambda at: self.encode_units([joined[i:j] for i, j in zip(starts[at], ends[at])]))
+        upto = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(starts, offsets)]
+        out = [ids[i:j] for i, j in zip(upto, upto[1:])]
         if not self.byte_fallback:  # a run of unknown characters is one unknown piece
             out = [x[~((x == self.unk) & np.concatenate([[False], x[:-1] == self.unk]))] if len(x) else x for x in out]
         return out
@@ -403,10 +402,10 @@ def _bound(column: np.ndarray, lo: np.ndarray, hi: np.ndarray, value: np.ndarray
 _WORKER: dict = {}
 
 
-def worker_model(path: str) -> tuple[PieceModel, dict]:
+def worker_model(path: str) -> tuple[PieceModel, UnitIds]:
     """The worker's model and remembered units, loaded once per process."""
     if _WORKER.get("path") != path:
-        _WORKER.update(path=path, model=PieceModel(path), known={})
+        _WORKER.update(path=path, model=PieceModel(path), known=UnitIds(np.int32, CACHE_UNITS))
     return _WORKER["model"], _WORKER["known"]
 
 
@@ -437,7 +436,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
     return rows.mapInArrow(run, "doc_id long, ids array<int>, text_crc32 long")
 
 
-def _slices(texts: list, limit: int = 1 << 22) -> Iterator[tuple[int, int]]:
+def _slices(texts: list, limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
     lo = size = 0
     for i, t in enumerate(texts):
         size += len(t or "")

@@ -7,9 +7,10 @@ stop once no register can change any more.  Two documents agree in a register
 with the probability Jaccard similarity of their weights.  Bands of registers
 give candidates, and every candidate link is verified on the texts.
 
-Exact copies are one class from the start.  Within a bucket the members meet
-the bucket's least class only; what is then linked needs no further test.
-Buckets that still hold several groups are compared block by block.
+Exact copies are one class from the start.  Within a bucket the members first
+meet one member, drawn by hash, only; what is then linked needs no further
+test.  A bucket that still holds several groups is compared whole within its
+task, which sends one link for each two groups that it joins.
 """
 
 from __future__ import annotations
@@ -123,93 +124,143 @@ def _bands(sig: np.ndarray, band: int) -> np.ndarray:
     return out
 
 
+def _weights(w: np.ndarray) -> bytes | None:
+    """Weights as bytes; None if all are one, as they are for most texts."""
+    return None if (w == 1).all() else w.astype("<u4").tobytes()
+
+
 def sign(docs: DataFrame, key: Column, text: str = "text", size: int = SHINGLE, registers: int = REGISTERS, band: int = BAND, seed: int = 1) -> DataFrame:
-    """(key, sig, bands) of every row with a word; ``sig`` is binary."""
+    """(key, bands) of every row with a word."""
+
+    def run(batches: Iterable) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for lo, rows, h, w, row in _shingled(batch, size):
+                bands = _bands(signatures(h, w, row, len(rows), registers, seed), band).view(np.int64)
+                offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * bands.shape[1])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows + lo)), pa.ListArray.from_arrays(offsets, pa.array(bands.ravel()))], ["key", "bands"])
+
+    return docs.select(key.alias("key"), F.col(text).cast("string").alias("text")).where("text IS NOT NULL").mapInArrow(run, "key binary, bands array<long>")
+
+
+def _shingled(batch, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, rows with a word, hash, weight, place in rows) of slices of
+    a batch of (key, text)."""
+    data, offsets = flat(batch.column(1))
+    for lo, hi in slices(offsets, SLICE_BYTES):
+        h, w, row = weighted_shingles(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], size)
+        keep = np.unique(row)
+        if len(keep):
+            yield lo, keep, h, w, np.searchsorted(keep, row)
+
+
+def shingle_table(texts: DataFrame, size: int = SHINGLE, registers: int = REGISTERS, seed: int = 1) -> DataFrame:
+    """(key, h, w, sig) of (key, text): sorted shingle hashes, weights (null if
+    all are one) and registers, as bytes."""
 
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            data, offsets = flat(batch.column(1))
-            for lo, hi in slices(offsets, SLICE_BYTES):
-                off = offsets[lo : hi + 1] - offsets[lo]
-                h, w, row = weighted_shingles(data[offsets[lo] : offsets[hi]], off, size)
-                keep = np.unique(row)
-                if not len(keep):
-                    continue
-                sig = signatures(h, w, np.searchsorted(keep, row), len(keep), registers, seed)
-                bands = _bands(sig, band).view(np.int64)
+            for lo, rows, h, w, row in _shingled(batch, size):
+                sig = signatures(h, w, row, len(rows), registers, seed)
+                cut = np.searchsorted(row, np.arange(len(rows) + 1))
+                spans = list(zip(cut, cut[1:]))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo).take(pa.array(keep)), pa.array([s.tobytes() for s in sig], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1, dtype=np.int32) * bands.shape[1]), pa.array(bands.ravel()))], ["key", "sig", "bands"])
+                    [batch.column(0).take(pa.array(rows + lo)), pa.array([h[i:j].tobytes() for i, j in spans], pa.binary()),
+                     pa.array([_weights(w[i:j]) for i, j in spans], pa.binary()), pa.array([x.tobytes() for x in sig], pa.binary())], ["key", "h", "w", "sig"])
 
-    return docs.select(key.alias("key"), F.col(text).cast("string").alias("text")).where("text IS NOT NULL").mapInArrow(run, "key binary, sig binary, bands array<long>")
+    return texts.select("key", "text").mapInArrow(run, "key binary, h binary, w binary, sig binary")
 
 
-def verify(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``pairs`` (a, b) whose texts reach ``threshold``.
+def _unpack(h: bytes, w: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    hashes = np.frombuffer(h, np.uint64)
+    return hashes, np.ones(len(hashes)) if w is None else np.frombuffer(w, "<u4").astype(np.float64)
 
-    ``texts`` has (key, text), one row a key.  Both joins are by key; a hub's
-    rows are split by adaptive execution.
+
+def verify(pairs: DataFrame, shingles: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``pairs`` (a, b) that reach ``threshold``.
+
+    Both joins are by key; a hub's rows are split by adaptive execution.
     """
-    # only texts that some pair names take part in the second join
-    both = pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b")
-    both = both.join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
+    side = lambda n: shingles.select(F.col("key").alias(n), F.col("h").alias(f"h{n}"), F.col("w").alias(f"w{n}"))
+    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "ha", "wa", "hb", "wb")
 
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            (da, oa), (db, ob) = flat(batch.column(2)), flat(batch.column(3))
-            good = []
-            last: tuple = (None, None)
-            for lo, hi in slices(oa + ob, SLICE_BYTES):
-                sides = []
-                for d, o in ((da, oa), (db, ob)):
-                    h, w, row = weighted_shingles(d[o[lo] : o[hi]], o[lo : hi + 1] - o[lo], size)
-                    sides.append((h, w, np.searchsorted(row, np.arange(hi - lo + 1))))
-                (h1, w1, r1), (h2, w2, r2) = sides
-                good += [lo + i for i in range(hi - lo)
-                         if prob_jaccard(h1[r1[i] : r1[i + 1]], w1[r1[i] : r1[i + 1]], h2[r2[i] : r2[i + 1]], w2[r2[i] : r2[i + 1]]) >= threshold]
+            columns = [batch.column(i).to_pylist() for i in range(2, 6)]
+            good = [i for i, (ha, wa, hb, wb) in enumerate(zip(*columns)) if prob_jaccard(*_unpack(ha, wa), *_unpack(hb, wb)) >= threshold]
             yield batch.select([0, 1]).take(pa.array(good, pa.int64()))
 
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def block_pairs(members: DataFrame, threshold: float, registers: int) -> DataFrame:
-    """Candidate pairs (a, b) of the buckets in ``members``
-    (bucket, n, key, root, sig): the two are in different groups and their
-    registers agree at about the threshold.
+def join_groups(keys: list, roots: np.ndarray, sigs: np.ndarray, hashes: list[np.ndarray], weights: list, threshold: float) -> list[tuple[int, int]]:
+    """Links that join the groups of one bucket: each pair of members of
+    different groups is tested unless its groups are joined by then.
+
+    Registers rule out what is far below the threshold; the rest is compared
+    on all shingles, one member against all its candidates at a time.
+    """
+    n = len(keys)
+    codes, flat_codes = np.unique(np.concatenate(hashes), return_inverse=True)
+    sizes = np.fromiter(map(len, hashes), np.int64, n)
+    starts = np.cumsum(sizes) - sizes
+    plain = np.fromiter((w is None for w in weights), bool, n)
+    need = (threshold - SLACK) * sigs.shape[1]
+    group, links, mark = roots.copy(), [], np.zeros(len(codes), bool)
+    largest = np.bincount(roots).argmax()
+    done = roots == largest  # members of the largest group are met by the others
+    for i in np.flatnonzero(roots != largest):
+        done[i] = True
+        may = (group != group[i]) & (~(done & (roots != largest)))
+        may &= (sigs == sigs[i]).sum(axis=1) >= need
+        near = np.flatnonzero(may)
+        if not len(near):
+            continue
+        mine = flat_codes[starts[i] : starts[i] + sizes[i]]
+        mark[mine] = True
+        at = np.concatenate([np.arange(starts[j], starts[j] + sizes[j]) for j in near])
+        common = np.add.reduceat(mark[flat_codes[at]].astype(np.int64), np.cumsum(sizes[near]) - sizes[near])
+        mark[mine] = False
+        similar = common / (sizes[i] + sizes[near] - common)
+        for k, j in enumerate(near):
+            if not (plain[i] and plain[j]):
+                similar[k] = prob_jaccard(hashes[i], _weight_array(weights[i], sizes[i]), hashes[j], _weight_array(weights[j], sizes[j]))
+        for j in near[similar >= threshold]:
+            if group[j] != group[i]:
+                links.append((min(i, j), max(i, j)))
+                group[group == group[j]] = group[i]
+    return links
+
+
+def _weight_array(w: bytes | None, n: int) -> np.ndarray:
+    return np.ones(n) if w is None else np.frombuffer(w, "<u4").astype(np.float64)
+
+
+def bucket_links(members: DataFrame, threshold: float, registers: int) -> DataFrame:
+    """(a, b) that join groups of the buckets in ``members``
+    (bucket, n, key, root, h, w, sig).
 
     A bucket of at most ``BLOCK`` members is one task's group.  A larger one is
     dealt into blocks, and each pair of blocks is a group, so any bucket is
     compared whole, in bounded memory.
     """
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    mine = F.pmod(F.xxhash64("key"), blocks).cast("int")
-    dealt = members.withColumn("_k", blocks).withColumn("_mine", mine).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
-    dealt = dealt.select("bucket", F.least("_mine", "_other").alias("i"), F.greatest("_mine", "_other").alias("j"), "key", "root", "sig")
-    need = int(np.floor((threshold - SLACK) * registers))
+    dealt = members.withColumn("_k", blocks).withColumn("_mine", F.pmod(F.xxhash64("key"), F.col("_k")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+    dealt = dealt.select("bucket", F.least("_mine", "_other").alias("i"), F.greatest("_mine", "_other").alias("j"), "key", "root", "h", "w", "sig")
 
     def compare(pdf):
         import pandas as pd
 
         pdf = pdf.sort_values("key").reset_index(drop=True)
-        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), registers)
-        roots = pd.factorize(pdf["root"])[0]
-        sizes = np.bincount(roots)
-        # the largest group is only compared with the others
-        rest = np.flatnonzero(roots != sizes.argmax())
-        a, b = [], []
-        for i in rest:
-            agree = (sig == sig[i]).sum(axis=1)
-            hit = (agree >= need) & (roots != roots[i])
-            hit &= (roots == sizes.argmax()) | (np.arange(len(pdf)) > i)
-            for j in np.flatnonzero(hit):
-                lo, hi = (i, j) if i < j else (j, i)
-                a.append(lo)
-                b.append(hi)
-        return pd.DataFrame({"a": pdf["key"].to_numpy()[a], "b": pdf["key"].to_numpy()[b]}) if a else pd.DataFrame({"a": [], "b": []}, dtype=object)
+        keys, hashes = pdf["key"].tolist(), [np.frombuffer(x, np.uint64) for x in pdf["h"]]
+        sigs = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), registers)
+        links = join_groups(keys, pd.factorize(pdf["root"])[0], sigs, hashes, [None if w is None or w is pd.NA else w for w in pdf["w"]], threshold)
+        return pd.DataFrame({"a": [keys[i] for i, _ in links], "b": [keys[j] for _, j in links]}, dtype=object)
 
     return dealt.groupBy("bucket", "i", "j").applyInPandas(compare, "a binary, b binary").distinct()
 
@@ -257,23 +308,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_key(F.col(text)).alias("key"), F.col(text).cast("string").alias("text"))
     signed = stash(sign(rows, F.col("key"), "text", size, registers, band), "signatures")
-    hashes = signed.select("key", F.explode("bands").alias("bucket"))
-    buckets = hashes.groupBy("bucket").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least != most")
-    members = stash(hashes.join(buckets.select("bucket", "least"), "bucket").groupBy("bucket", "key").agg(F.min("least").alias("least")), "members")
-    stars = stash(members.where("key != least").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct(), "stars")
+    hashes = signed.select("key", F.explode("bands").alias("bucket")).withColumn("r", F.xxhash64("key", "bucket"))
+    buckets = hashes.groupBy("bucket").agg(F.min("r").alias("first"), F.max("r").alias("last")).where("first != last")
+    members = stash(hashes.join(buckets.select("bucket", "first"), "bucket").groupBy("bucket", "key").agg(F.min("r").alias("r"), F.min("first").alias("first")), "members")
+    # every member meets the one that the bucket draws
+    drawn = members.where("r = first").select("bucket", F.col("key").alias("c"))
+    stars = members.where("r != first").join(drawn, "bucket").select(F.least("c", "key").alias("a"), F.greatest("c", "key").alias("b")).distinct()
     named = members.select("key").distinct()
     some = maybe_in(rows.where("key IS NOT NULL").select("key", "text"), named, "key")
-    texts = stash(some.groupBy("key").agg(F.first("text").alias("text")).join(named, "key"), "texts")
-    links = stash(verify(stars, texts, size, threshold), "links")
+    shingles = stash(shingle_table(some.groupBy("key").agg(F.first("text").alias("text")).join(named, "key"), size, registers), "shingles")
+    links = stash(verify(stars, shingles, threshold), "links")
     roots = connected_components(links)
     # buckets that still hold several groups
     grouped = members.join(roots, members["key"] == roots["node"], "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
     grouped = stash(grouped, "grouped")
-    open_ = grouped.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("n > 2 AND lo != hi").select("bucket", "n")
-    left = grouped.join(open_, "bucket")
-    sigs = signed.join(left.select("key").distinct(), "key").groupBy("key").agg(F.first("sig").alias("sig"))
-    more = block_pairs(left.join(sigs, "key"), threshold, registers).join(stars, ["a", "b"], "left_anti")
-    more = stash(verify(more, texts, size, threshold), "links")
+    several = grouped.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("n > 2 AND lo != hi").select("bucket", "n")
+    left = grouped.join(several, "bucket").join(shingles, "key")
+    more = stash(bucket_links(left, threshold, registers), "links")
     if not more.isEmpty():
         roots = connected_components(links.unionByName(more))
     return classes(rows.select("doc_id", "key"), roots)

@@ -30,7 +30,7 @@ THRESHOLD = 0.8
 REGISTERS = 128
 BAND = 4
 #: Bytes of text hashed at a time.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 #: Members of a bucket compared in one task; larger buckets go in pairs of blocks.
 BLOCK = 4096
 #: Pairs go to verification if their registers agree at least this much less
@@ -84,7 +84,7 @@ def signatures(h: np.ndarray, w: np.ndarray, row: np.ndarray, n: int, m: int = R
             limit = np.where(np.isnan(stop), np.inf, stop)[row[live]]
             live = live[time[live] <= limit]
             step += many
-            many = min(2 * many, 64)
+            many = max(1, min(2 * many, 64, 250_000 // max(1, len(live))))
     return (registers & np.uint64(0xFFFFFFFF)).astype(np.uint32).reshape(n, m)
 
 
@@ -211,25 +211,25 @@ def join_groups(keys: list, roots: np.ndarray, sigs: np.ndarray, hashes: list[np
     starts = np.cumsum(sizes) - sizes
     plain = np.fromiter((w is None for w in weights), bool, n)
     need = (threshold - SLACK) * sigs.shape[1]
-    group, links, mark = roots.copy(), [], np.zeros(len(codes), bool)
+    group, links, mark = roots.copy(), [], np.zeros(len(codes), np.int32)
     largest = np.bincount(roots).argmax()
-    done = roots == largest  # members of the largest group are met by the others
+    open_ = roots == largest  # members of the largest group are met by the others
     for i in np.flatnonzero(roots != largest):
-        done[i] = True
-        may = (group != group[i]) & (~(done & (roots != largest)))
-        may &= (sigs == sigs[i]).sum(axis=1) >= need
+        if (group == group[i]).all():
+            break  # all are one group
+        may = (group != group[i]) & (open_ | (np.arange(n) > i))
+        may[may] = (sigs[may] == sigs[i]).sum(axis=1) >= need
         near = np.flatnonzero(may)
         if not len(near):
             continue
         mine = flat_codes[starts[i] : starts[i] + sizes[i]]
-        mark[mine] = True
-        at = np.concatenate([np.arange(starts[j], starts[j] + sizes[j]) for j in near])
-        common = np.add.reduceat(mark[flat_codes[at]].astype(np.int64), np.cumsum(sizes[near]) - sizes[near])
-        mark[mine] = False
+        mark[mine] = 1
+        common = np.add.reduceat(mark[flat_codes], starts)[near]
+        mark[mine] = 0
         similar = common / (sizes[i] + sizes[near] - common)
-        for k, j in enumerate(near):
-            if not (plain[i] and plain[j]):
-                similar[k] = prob_jaccard(hashes[i], _weight_array(weights[i], sizes[i]), hashes[j], _weight_array(weights[j], sizes[j]))
+        for k in np.flatnonzero(~plain[near]) if plain[i] else range(len(near)):
+            j = near[k]
+            similar[k] = prob_jaccard(hashes[i], _weight_array(weights[i], sizes[i]), hashes[j], _weight_array(weights[j], sizes[j]))
         for j in near[similar >= threshold]:
             if group[j] != group[i]:
                 links.append((min(i, j), max(i, j)))

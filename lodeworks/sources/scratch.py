@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
+_PATHS: dict[int, tuple] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,4 +42,17 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[id(out)] = (weakref.ref(out), path)
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that :func:`stash` wrote, once nothing will read them;
+    other DataFrames are left alone."""
+    for df in tables:
+        ref, path = _PATHS.pop(id(df), (None, None))
+        if ref is not None and ref() is df:
+            context = df.sparkSession.sparkContext
+            p = context._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(context._jsc.hadoopConfiguration()).delete(p, True)

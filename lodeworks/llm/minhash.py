@@ -203,15 +203,21 @@ def join_groups(keys: list, roots: np.ndarray, sigs: np.ndarray, hashes: list[np
     different groups is tested unless its groups are joined by then.
 
     Registers rule out what is far below the threshold; the rest is compared
-    on all shingles, one member against all its candidates at a time.
+    on all shingles, one member against all others at a time.  With weights
+    that sum to one, let m be the sum of the smaller weights: the probability
+    Jaccard similarity is at most m and at least m / (2 - m), and only pairs
+    that this leaves open are summed up one by one.
     """
     n = len(keys)
     codes, flat_codes = np.unique(np.concatenate(hashes), return_inverse=True)
     sizes = np.fromiter(map(len, hashes), np.int64, n)
     starts = np.cumsum(sizes) - sizes
     plain = np.fromiter((w is None for w in weights), bool, n)
+    full = [_weight_array(w, s) for w, s in zip(weights, sizes)]
+    share = np.concatenate([w / w.sum() for w in full])
     need = (threshold - SLACK) * sigs.shape[1]
-    group, links, mark = roots.copy(), [], np.zeros(len(codes), np.int32)
+    group, links = roots.copy(), []
+    mark, part = np.zeros(len(codes), np.int32), np.zeros(len(codes))
     largest = np.bincount(roots).argmax()
     open_ = roots == largest  # members of the largest group are met by the others
     for i in np.flatnonzero(roots != largest):
@@ -222,16 +228,21 @@ def join_groups(keys: list, roots: np.ndarray, sigs: np.ndarray, hashes: list[np
         near = np.flatnonzero(may)
         if not len(near):
             continue
-        mine = flat_codes[starts[i] : starts[i] + sizes[i]]
+        here = slice(starts[i], starts[i] + sizes[i])
+        mine = flat_codes[here]
         mark[mine] = 1
         common = np.add.reduceat(mark[flat_codes], starts)[near]
         mark[mine] = 0
-        similar = common / (sizes[i] + sizes[near] - common)
-        for k in np.flatnonzero(~plain[near]) if plain[i] else range(len(near)):
+        low = high = common / (sizes[i] + sizes[near] - common)
+        if not (plain[i] and plain[near].all()):
+            part[mine] = share[here]
+            m = np.add.reduceat(np.minimum(part[flat_codes], share), starts)[near] + 1e-9
+            part[mine] = 0
+            exact = plain[near] & plain[i]
+            low, high = np.where(exact, low, (m - 2e-9) / (2 - m)), np.where(exact, high, m)
+        for k in np.flatnonzero(high >= threshold)[np.argsort(-low[high >= threshold], kind="stable")]:
             j = near[k]
-            similar[k] = prob_jaccard(hashes[i], _weight_array(weights[i], sizes[i]), hashes[j], _weight_array(weights[j], sizes[j]))
-        for j in near[similar >= threshold]:
-            if group[j] != group[i]:
+            if group[j] != group[i] and (low[k] >= threshold or not (plain[i] and plain[j]) and prob_jaccard(hashes[i], full[i], hashes[j], full[j]) >= threshold):
                 links.append((min(i, j), max(i, j)))
                 group[group == group[j]] = group[i]
     return links

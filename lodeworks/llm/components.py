@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import stash
+from .storage import drop, stash
 
 
 def connected_components(edges: DataFrame, left: str = "a", right: str = "b", max_rounds: int = 60) -> DataFrame:
@@ -31,17 +31,19 @@ def connected_components(edges: DataFrame, left: str = "a", right: str = "b", ma
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
         big = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = stash(big.where("u != v").distinct(), "cc")
+        old, e = e, stash(big.where("u != v").distinct(), "cc")
+        drop(old)
         # small star: every node hands its smaller neighbours to its minimum
         least = e.groupBy("u").agg(F.min("v").alias("m"))
         small = e.join(least, "u")
-        e = stash(
+        old, e = e, stash(
             small.select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(least.select("u", F.col("m").alias("v")))
             .where("u != v")
             .distinct(),
             "cc",
         )
+        drop(old)
         # stars only: no node is both a root and a leaf
         now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if before == (now["n"], now["h"]):

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .storage import stash
+from .storage import drop, stash
 from .textio import flat, mix, shingle_hashes, slices, word_hashes, word_spans
 
 SHINGLE = 5
@@ -338,7 +338,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     more = stash(bucket_links(left, threshold, registers), "links")
     if not more.isEmpty():
         roots = connected_components(links.unionByName(more))
-    return classes(rows.select("doc_id", "key"), roots)
+    out = classes(rows.select("doc_id", "key"), roots)
+    drop(signed, members, shingles, links, grouped, more)  # the classes are written
+    return out
 
 
 def classes(rows: DataFrame, roots: DataFrame) -> DataFrame:

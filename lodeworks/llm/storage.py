@@ -6,9 +6,9 @@ import os
 import uuid
 from urllib.parse import unquote, urlparse
 
-from ..sources.scratch import scratch, shared_dir, stash
+from ..sources.scratch import drop, scratch, shared_dir, stash
 
-__all__ = ["local_path", "map_array", "open_bytes", "scratch", "shared_dir", "stash", "write_bytes"]
+__all__ = ["drop", "local_path", "map_array", "open_bytes", "scratch", "shared_dir", "stash", "write_bytes"]
 
 def local_path(uri: str) -> str | None:
     """The plain path of a ``file:`` URI or bare path, None for other stores."""

@@ -44,10 +44,8 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, n_pieces, round_trip) of every document: its piece ids,
     and whether they decode to its text."""
-    model = tokenizer_file("piece_bpe_32k.model")
-    got = pieces.decode(pieces.encode(docs, model), model)
-    return got.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"),
-                      (F.crc32(F.col("decoded").cast("binary")) == F.col("text_crc32")).alias("round_trip"))
+    got = pieces.encode(docs, tokenizer_file("piece_bpe_32k.model"), check=True)
+    return got.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), "round_trip")
 
 
 STAGES = [("language_id", language_stage), ("near_dedup", dedup_stage), ("source_mix", mix_stage), ("sentencepiece", encode_stage)]

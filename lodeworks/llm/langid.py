@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 #: Texts that a language's model is fitted on, at most (a bounded sample, by hash).
 FIT_DOCS = 3000
 #: Characters of text that one task turns into counts at a time.
-SLICE_CHARS = 1 << 19
+SLICE_CHARS = 1 << 18
 BUCKETS = 1 << 16
 #: Cost, in natural log units, of changing the language between two words.
 SWITCH = 6.0
@@ -59,10 +59,9 @@ def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     lower case, is it white space."""
     if not _TABLES:
         n = 0x110000
-        chars = list(map(chr, range(n)))
-        letter = np.fromiter((unicodedata.category(c)[0] == "L" for c in chars), bool, n)
-        lower = np.fromiter((ord(x) if len(x := c.lower()) == 1 else i for i, c in enumerate(chars)), np.int32, n)
-        space = np.fromiter((c.isspace() for c in chars), bool, n)
+        letter = np.fromiter((unicodedata.category(chr(i))[0] == "L" for i in range(n)), bool, n)
+        lower = np.fromiter((ord(x) if len(x := chr(i).lower()) == 1 else i for i in range(n)), np.int32, n)
+        space = np.fromiter((chr(i).isspace() for i in range(n)), bool, n)
         script = np.zeros(n, np.uint8)
         for k, ranges in enumerate(SCRIPTS.values(), 1):
             for lo, hi in ranges:

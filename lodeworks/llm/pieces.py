@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import heapq
 import struct
-import zlib
 from collections.abc import Iterable, Iterator
 from functools import cached_property
 
@@ -29,9 +28,9 @@ from .unitcache import UnitIds
 
 SPACE = "▁"
 #: Distinct units that a worker remembers.
-CACHE_UNITS = 1_500_000
+CACHE_UNITS = 400_000
 #: Characters that are indexed at a time.
-INDEX_CHARS = 1 << 20
+INDEX_CHARS = 1 << 18
 _START, _UNKNOWN = -2, -1
 _NORMAL, _UNK, _CONTROL, _USER, _BYTE, _UNUSED = 1, 2, 3, 4, 6, 5
 
@@ -381,6 +380,11 @@ class PieceModel:
             out = [x[~((x == self.unk) & np.concatenate([[False], x[:-1] == self.unk]))] if len(x) else x for x in out]
         return out
 
+    def expected(self, text: str) -> str:
+        """What decoding gives for the ids of a text that holds no unknown character."""
+        text = text.replace(SPACE, " ")
+        return " ".join(filter(None, text.split(" "))) if self.collapse else text
+
     def decode(self, ids) -> str:
         """The text of ids; the prefixed space goes, malformed bytes are replaced."""
         text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -409,13 +413,14 @@ def worker_model(path: str) -> tuple[PieceModel, UnitIds]:
     return _WORKER["model"], _WORKER["known"]
 
 
-def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, ids, text_crc32) of every row; ``ids`` is an array of ints.
+def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", check: bool = False) -> DataFrame:
+    """(doc_id, ids) of every row; ``ids`` is an array of ints.
 
-    A null or empty text has no ids.  ``text_crc32`` is of the UTF-8 text that
-    decoding should give (the mark U+2581 reads as a space).  Repeated rows and
-    null keys stay as they are; other columns are not read.  The model file
-    must be at the same path on every executor.
+    A null or empty text has no ids.  With ``check`` the ids are decoded where
+    they were made, and ``round_trip`` tells whether that gives the text back
+    (the mark U+2581 reads as a space).  Repeated rows and null keys stay as
+    they are; other columns are not read.  The model file must be at the same
+    path on every executor.
     """
 
     def run(batches: Iterable) -> Iterator:
@@ -423,20 +428,24 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
 
         m, known = worker_model(model)
         for batch in batches:
-            for lo, hi in _slices(batch.column(1).to_pylist()):
-                part = batch.slice(lo, hi - lo)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                ids = m.encode(texts, known)
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids).astype(np.int32) if ids else np.empty(0, np.int32))),
-                     pa.array([zlib.crc32(t.replace(SPACE, " ").encode()) for t in texts], pa.int64())], ["doc_id", "ids", "text_crc32"])
-
+            for at in range(0, batch.num_rows, 512):
+                block = batch.slice(at, 512)
+                for lo, hi in _slices(block.column(1).to_pylist()):
+                    part = block.slice(lo, hi - lo)
+                    texts = [t or "" for t in part.column(1).to_pylist()]
+                    ids = m.encode(texts, known)
+                    offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                    out = [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids).astype(np.int32)))]
+                    if check:
+                        out.append(pa.array([m.decode(x.tolist()) == m.expected(t) for x, t in zip(ids, texts)], pa.bool_()))
+                    yield pa.RecordBatch.from_arrays(out, names)
+
+    names = ["doc_id", "ids", "round_trip"][: 3 if check else 2]
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, text_crc32 long")
+    return rows.mapInArrow(run, "doc_id long, ids array<int>" + ", round_trip boolean" * check)
 
 
-def _slices(texts: list, limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def _slices(texts: list, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     lo = size = 0
     for i, t in enumerate(texts):
         size += len(t or "")
@@ -448,8 +457,8 @@ def _slices(texts: list, limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
-    """Adds ``decoded``, the text of ``ids``, to (doc_id, ids, text_crc32);
-    null ids decode to an empty text."""
+    """(doc_id, ids, decoded): adds the text of ``ids``; null ids decode to an
+    empty text."""
 
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
@@ -459,6 +468,6 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
                 texts = [m.decode(x or ()) for x in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text_crc32", "decoded"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
 
-    return encoded.select("doc_id", "ids", "text_crc32").mapInArrow(run, "doc_id long, ids array<int>, text_crc32 long, decoded string")
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded string")

@@ -66,12 +66,10 @@ def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .pieces import decode, encode
+    from .pieces import encode
 
-    model = tokenizer_file("piece_bpe_32k.model")
-    got = decode(encode(_table(spark, sf_dir, "documents"), model), model)
-    return got.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
-                      (F.crc32(F.col("decoded").cast("binary")) == F.col("text_crc32")).alias("round_trip"))
+    got = encode(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), check=True)
+    return got.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "round_trip")
 
 
 def op4_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

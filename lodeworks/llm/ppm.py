@@ -9,10 +9,14 @@ equally likely.  The trie is trained once, on the training documents, one for
 each class of documents; a text's code length is that of its best class plus
 that of naming the class.
 
-The text of a word alone decides its code length, so words are scored once
-each: documents are first cut into chunks that keep their words by number; the
-distinct words of all chunks are counted and scored, and every chunk gets back
-the figures of its own words.
+A byte's context alone decides its code length, so each distinct window (a
+context and the byte after it) is scored once.  Documents are first cut into
+chunks; the distinct windows of a chunk go out in parts by hash, and are summed
+there over all chunks.  The sums are dealt by the last two bytes of context:
+all contexts from order 2 on that a window escapes to end in them, and those of
+orders 0 and 1, at most 65,792 nodes, are sent to every task.  So no count is
+dropped, and no task holds the whole trie.  Every chunk gets back the scores of
+its own windows and adds them up along its documents.
 """
 
 from __future__ import annotations
@@ -28,38 +32,41 @@ from pyspark.sql import functions as F
 
 from .langid import crc_mod
 from .storage import stash
+from .textio import mix
 
 #: Bytes of context; a window of them and the next byte fits in 48 bits.
 DEPTH = 5
-#: A trie keeps a byte in a context if it makes one in so many of the training
-#: symbols at least, which bounds the nodes of each order by that number.
-MAX_NODES = 4_000_000
+#: Text that makes a part of the windows, in bytes: their number grows with the input.
+PART_BYTES = 32 << 20
 #: Languages with a class of their own; all others share one.
 MAX_CLASSES = 15
 #: Text of a chunk, in bytes.
 CHUNK_BYTES = 24 << 20
+#: Text whose windows are made at a time, in bytes.
+SLICE_BYTES = 2 << 20
 END = b"\n"
 _ALPHABET = 257.0
 
 
-def _window_words(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(window, word) of every symbol of the words: the context's length in
-    bits 48 to 50, below it the context and the symbol.
+def _spell(words: list[bytes]) -> list[bytes]:
+    """Each word between the spaces around it; the end of a text is a symbol by itself."""
+    return [b" " + w + (b"" if w == END else b" ") for w in words]
 
-    A word is followed by a space; the end of a text is a symbol by itself.
-    """
-    joined = b"".join(b" " + w + (b"" if w == END else b" ") for w in words)
-    data = np.frombuffer(joined, np.uint8).astype(np.uint64)
-    size = np.fromiter((len(w) + (1 if w == END else 2) for w in words), np.int64, len(words))
+
+def _windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(window, text) of every symbol of the texts but the first of each: the
+    context's length in bits 48 to 50, below it the context and the symbol."""
+    data = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint64)
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
     begin = np.cumsum(size) - size
-    word = np.repeat(np.arange(len(words)), size)
-    place = np.arange(len(data)) - begin[word]
+    text = np.repeat(np.arange(len(texts)), size)
+    place = np.arange(len(data)) - begin[text]
     window = data.copy()
     for k in range(1, DEPTH + 1):
         window[k:] |= np.where(place[k:] >= k, data[:-k] << np.uint64(8 * k), np.uint64(0))
     window |= np.minimum(place, DEPTH).astype(np.uint64) << np.uint64(48)
     keep = place > 0
-    return window[keep], word[keep]
+    return window[keep], text[keep]
 
 
 def _shorten(window: np.ndarray, order: int) -> np.ndarray:
@@ -67,23 +74,27 @@ def _shorten(window: np.ndarray, order: int) -> np.ndarray:
     return (window & np.uint64((1 << 8 * (order + 1)) - 1)) | np.uint64(order << 48)
 
 
+def _merge(keys: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and their sums by class."""
+    if not len(keys):
+        return keys, sums
+    by = np.argsort(keys, kind="stable")
+    keys = keys[by]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(sums[by], first, axis=0)
+
+
+def all_orders(keys: np.ndarray, sums: np.ndarray, least: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(node, counts by class), of all orders from ``least`` on, of windows."""
+    order = (keys >> np.uint64(48)).astype(np.int64)
+    out = [_merge(_shorten(keys[order >= k], k), sums[order >= k]) for k in range(DEPTH, least - 1, -1)]
+    return np.concatenate([k for k, _ in out]), np.concatenate([n for _, n in out])
+
+
 def count_windows(words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(node, counts by class), of all orders, summed over the words."""
-    window, word = _window_words(words)
-    if not len(window):
-        return np.empty(0, np.uint64), np.empty((0, counts.shape[1]), np.int64)
-    keys, inverse = np.unique(window, return_inverse=True)
-    sums = np.stack([np.bincount(inverse, counts[word, k], len(keys)) for k in range(counts.shape[1])], 1)
-    out_k, out_n = [], []
-    order = (keys >> np.uint64(48)).astype(np.int64)
-    for k in range(DEPTH, -1, -1):
-        deep = order >= k
-        short, inverse = np.unique(_shorten(keys[deep], k), return_inverse=True)
-        total = np.zeros((len(short), counts.shape[1]))
-        np.add.at(total, inverse, sums[deep])
-        out_k.append(short)
-        out_n.append(total)
-    return np.concatenate(out_k), np.concatenate(out_n).astype(np.int64)
+    window, word = _windows(_spell(words))
+    return all_orders(*_merge(window, counts[word]))
 
 
 @dataclass
@@ -149,7 +160,7 @@ class Trie:
 
 def score_words(tries: list[Trie], words: list[bytes]) -> np.ndarray:
     """(words, classes) log10 probabilities; each distinct window is looked up once."""
-    window, word = _window_words(words)
+    window, word = _windows(_spell(words))
     keys, inverse = np.unique(window, return_inverse=True)
     return np.stack([np.bincount(word, t.window_scores(keys)[inverse], len(words)) for t in tries], 1)
 
@@ -181,43 +192,89 @@ def _unpack(raw: bytes) -> list[np.ndarray]:
     return out
 
 
-def _chunks(docs: DataFrame, classes: dict[str | None, int], n_classes: int) -> DataFrame:
-    """Chunks of documents: a row with the packed documents (slot -1), and a
-    row (slot, word, counts in training documents by class) for every word."""
+def _streams(words: list[bytes]) -> list[bytes]:
+    """What the symbols of a document are read from; contexts go back to the start of each."""
+    return _spell(words)
+
+
+def _slices(lengths: Iterable[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that hold about ``SLICE_BYTES`` each."""
+    lo = hi = size = 0
+    for n in lengths:
+        hi, size = hi + 1, size + n
+        if size >= SLICE_BYTES:
+            yield lo, hi
+            lo, size = hi, 0
+    if hi > lo:
+        yield lo, hi
+
+
+def _part(window: np.ndarray, parts: int) -> np.ndarray:
+    return (mix(window) % np.uint64(parts)).astype(np.int64)
+
+
+def _chunks(docs: DataFrame, classes: dict[str | None, int], n_classes: int, parts: int) -> DataFrame:
+    """Chunks of documents: a row with the packed documents (slot -1), a row
+    (slot, word, count in training documents) for every word, and a row with
+    the packed windows and their training counts by class for each part of
+    them (slot -2 less the part)."""
 
     def cut(batches: Iterable) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         part, seq = TaskContext.get().partitionId(), 0
-        schema = pa.schema([("chunk", pa.int64()), ("slot", pa.int32()), ("word", pa.binary()), *((f"n{k}", pa.int64()) for k in range(n_classes)), ("body", pa.binary())])
+        schema = pa.schema([("chunk", pa.int64()), ("slot", pa.int32()), ("word", pa.binary()), ("c", pa.int64()), ("body", pa.binary())])
+
+        def window_sums(texts):
+            """The distinct windows of some texts, and their training counts."""
+            window, text = _windows(texts)
+            coded = pc.dictionary_encode(pa.array(window))
+            keys = coded.dictionary.to_numpy()
+            kind = np.array([n_classes if h else k for h, k in waiting_class])[text]
+            at = coded.indices.to_numpy().astype(np.int64) * (n_classes + 1) + kind
+            return keys, np.bincount(at, minlength=len(keys) * (n_classes + 1)).reshape(len(keys), -1)[:, :n_classes]
+
+        def settle():
+            if waiting:
+                sums.append(window_sums(waiting))
+                waiting.clear()
+                waiting_class.clear()
 
         def close():
+            settle()
             chunk = (part << 24) + seq
             words = np.concatenate(idx)
             lengths = np.array(sizes, np.int32)
-            docs_of = np.repeat(np.arange(len(lengths)), lengths)
             train = ~np.array(held, bool)
-            kind = np.array(cls, np.int64)
-            counts = np.zeros((n_classes, len(slots)), np.int64)
-            for k in range(n_classes):
-                counts[k] = np.bincount(words[(train & (kind == k))[docs_of]], minlength=len(slots))
+            counts = np.bincount(words[np.repeat(train, lengths)], minlength=len(slots))
             keys = np.array([0 if i is None else i for i in ids], np.int64)
-            body = _pack(keys, np.array([i is None for i in ids], np.uint8), np.array(held, np.uint8), lengths, words.astype(np.int32))
-            empty = pa.array([None], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([-1], pa.int32()), empty, *(pa.array([0], pa.int64()) for _ in range(n_classes)), pa.array([body], pa.binary())], schema=schema)
             text = list(slots)
+            spelled = np.frombuffer(b"".join(text), np.uint8)
+            bodies = [_pack(keys, np.array([i is None for i in ids], np.uint8), np.array(held, np.uint8), lengths, words.astype(np.int32), np.fromiter(map(len, text), np.int64, len(text)), spelled)]
+            window, n = _merge(np.concatenate([k for k, _ in sums]), np.concatenate([n for _, n in sums]))
+            sums.clear()
+            of = _part(window, parts)
+            by = np.argsort(of, kind="stable")
+            ends = np.searchsorted(of[by], np.arange(parts + 1))
+            here = [p for p in range(parts) if ends[p] < ends[p + 1]]
+            for p in here:
+                at = by[ends[p] : ends[p + 1]]
+                bodies.append(_pack(window[at], n[at].T.ravel()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(bodies), chunk)), pa.array([-1, *(-2 - p for p in here)], pa.int32()), pa.nulls(len(bodies), pa.binary()), pa.array(np.zeros(len(bodies), np.int64)), pa.array(bodies, pa.binary())], schema=schema)
             for lo in range(0, len(text), 50_000):
                 hi = min(len(text), lo + 50_000)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(hi - lo, chunk)), pa.array(np.arange(lo, hi, dtype=np.int32)), pa.array(text[lo:hi], pa.binary()),
-                     *(pa.array(counts[k, lo:hi]) for k in range(n_classes)), pa.nulls(hi - lo, pa.binary())], schema=schema)
+                    [pa.array(np.full(hi - lo, chunk)), pa.array(np.arange(lo, hi, dtype=np.int32)), pa.array(text[lo:hi], pa.binary()), pa.array(counts[lo:hi]), pa.nulls(hi - lo, pa.binary())], schema=schema)
 
         def numbering():
             d: defaultdict = defaultdict()
             d.default_factory = d.__len__
             return d
 
-        slots, ids, held, cls, sizes, idx, size = numbering(), [], [], [], [], [], 0
+        slots, ids, held, sizes, idx, size = numbering(), [], [], [], [], 0
+        waiting, waiting_class, sums, waiting_size = [], [], [], 0
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 for doc, text, lang, out in zip(*(batch.column(c).slice(i, 256).to_pylist() for c in range(4))):
@@ -225,54 +282,84 @@ def _chunks(docs: DataFrame, classes: dict[str | None, int], n_classes: int) ->
                     words = raw.lower().split()
                     words.append(END)
                     idx.append(np.fromiter(map(slots.__getitem__, words), np.int32, len(words)))
+                    waiting += _streams(words)
+                    waiting_class += [(out, classes.get(lang, n_classes - 1))] * (len(waiting) - len(waiting_class))
+                    waiting_size += len(raw)
                     ids.append(doc)
                     held.append(out)
-                    cls.append(classes.get(lang, n_classes - 1))
                     sizes.append(len(words))
                     size += len(raw)
+                    if waiting_size >= SLICE_BYTES:
+                        settle()
+                        waiting_size = 0
                     if size >= CHUNK_BYTES:
                         yield from close()
                         seq += 1
-                        slots, ids, held, cls, sizes, idx, size = numbering(), [], [], [], [], [], 0
+                        slots, ids, held, sizes, idx, size = numbering(), [], [], [], [], 0
         if ids:
             yield from close()
 
-    counts = ", ".join(f"n{k} long" for k in range(n_classes))
-    return docs.mapInArrow(cut, f"chunk long, slot int, word binary, {counts}, body binary")
+    return docs.mapInArrow(cut, "chunk long, slot int, word binary, c long, body binary")
 
 
-def _train(vocabulary: DataFrame, n_classes: int) -> tuple[list[Trie], int]:
-    """The tries by class, and the number of training symbols."""
+def _sum_parts(windows: DataFrame, n_classes: int, parts: int) -> DataFrame:
+    """(part, shard, window, counts by class) of the distinct windows of (part, body)."""
+    columns = [f"n{k}" for k in range(n_classes)]
 
-    def count(batches: Iterable) -> Iterator:
-        import pyarrow as pa
+    def total(pdf):
+        import pandas as pd
 
-        keys, sums = np.empty(0, np.uint64), np.empty((0, n_classes), np.int64)
-        for batch in batches:
-            k, n = count_windows(batch.column(0).to_pylist(), np.stack([batch.column(1 + c).to_numpy(zero_copy_only=False) for c in range(n_classes)], 1))
-            keys, inverse = np.unique(np.concatenate([keys, k]), return_inverse=True)
-            total = np.zeros((len(keys), n_classes), np.int64)
-            np.add.at(total, inverse, np.concatenate([sums, n]))
-            sums = total
-            if len(keys) > 1_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *(pa.array(sums[:, c]) for c in range(n_classes))], names)
-                keys, sums = np.empty(0, np.uint64), np.empty((0, n_classes), np.int64)
-        if len(keys):
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *(pa.array(sums[:, c]) for c in range(n_classes))], names)
-
-    names = ["node", *(f"n{k}" for k in range(n_classes))]
+        got = [_unpack(raw) for raw in pdf["body"]]
+        keys, n = _merge(np.concatenate([k for k, _ in got]), np.concatenate([n.reshape(n_classes, -1).T for _, n in got]))
+        shard = _part((keys >> np.uint64(8)) & np.uint64(0xFFFF), parts)
+        return pd.DataFrame({"part": pdf["part"].iloc[0], "shard": shard, "window": keys.view(np.int64), **{c: n[:, k] for k, c in enumerate(columns)}})
+
+    return windows.groupBy("part").applyInPandas(total, "part int, shard int, window long, " + ", ".join(f"{c} long" for c in columns))
+
+
+def _score_parts(sums: DataFrame, n_classes: int) -> DataFrame:
+    """(part, body): the windows of each part, and their log10 probabilities by class."""
     columns = [f"n{k}" for k in range(n_classes)]
-    nodes = vocabulary.select("word", *columns).mapInArrow(count, "node long, " + ", ".join(f"{c} long" for c in columns))
-    nodes = stash(nodes.groupBy("node").agg(*[F.sum(c).alias(c) for c in columns]), "trie")
-    symbols = nodes.where(F.shiftright("node", 48) == 0).agg(F.sum(sum((F.col(c) for c in columns), F.lit(0)))).first()[0] or 0
-    least = max(1, -(-symbols // MAX_NODES))
-    kept = nodes.where(F.greatest(F.lit(0), *[F.col(c) for c in columns]) >= least).toPandas()  # at most MAX_NODES an order
-    keys = kept["node"].to_numpy(np.int64).view(np.uint64)
-    tries = []
-    for c in columns:
-        n = kept[c].to_numpy(np.int64)
-        tries.append(Trie.build(keys[n >= least], n[n >= least]))
-    return tries, symbols
+    pair = F.col("window").bitwiseAND(F.lit(0xFFFF)).alias("pair")
+    low = sums.groupBy(pair).agg(*[F.sum(c).alias(c) for c in columns]).toPandas()  # at most 65,536 rows
+    keys = low["pair"].to_numpy(np.int64).astype(np.uint64) | np.uint64(1 << 48)
+    short = np.stack([low[c].to_numpy(np.int64) for c in columns], 1)
+    lowest = all_orders(keys, short) if len(keys) else (keys, short)
+
+    def rate(pdf):
+        import pandas as pd
+
+        window, n = pdf["window"].to_numpy(np.int64).view(np.uint64), pdf[columns].to_numpy(np.int64)
+        nodes, count = all_orders(window, n, 2)
+        nodes, count = np.concatenate([nodes, lowest[0]]), np.concatenate([count, lowest[1]])
+        tries = [Trie.build(nodes[count[:, k] > 0], count[count[:, k] > 0, k]) for k in range(n_classes)]
+        s = np.stack([t.window_scores(window) for t in tries]).astype(np.float32)
+        of = pdf["part"].to_numpy()
+        places = [(p, np.flatnonzero(of == p)) for p in np.unique(of)]
+        return pd.DataFrame({"part": [p for p, _ in places], "body": [_pack(window[at], s[:, at].ravel()) for _, at in places]})
+
+    return sums.groupBy("shard").applyInPandas(rate, "part int, body binary")
+
+
+def _send_back(windows: DataFrame, scored: DataFrame, n_classes: int) -> DataFrame:
+    """(chunk, kind 2, body): the scores of the windows of each chunk and part."""
+
+    def send(pdf):
+        import pandas as pd
+
+        got = [_unpack(raw) for raw in pdf.loc[pdf["chunk"] < 0, "body"]]
+        keys = np.concatenate([k for k, _ in got])
+        by = np.argsort(keys)
+        keys, s = keys[by], np.concatenate([s.reshape(n_classes, -1) for _, s in got], axis=1)[:, by]
+        mine = pdf[pdf["chunk"] >= 0]
+        bodies = []
+        for raw in mine["body"]:
+            window, _ = _unpack(raw)
+            bodies.append(_pack(window, s[:, np.searchsorted(keys, window)].ravel()))
+        return pd.DataFrame({"chunk": mine["chunk"].to_numpy(), "kind": 2, "body": bodies})
+
+    both = windows.unionByName(scored.select("part", F.lit(-1).cast("long").alias("chunk"), "body"))
+    return both.groupBy("part").applyInPandas(send, "chunk long, kind int, body binary")
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str | None = "lang", folds: int = 10, held: int = 0) -> DataFrame:
@@ -295,28 +382,20 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str |
     top = rows.where("NOT held AND lang IS NOT NULL").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_CLASSES).collect()
     classes = {r["lang"]: k for k, r in enumerate(top)}
     n_classes = len(classes) + 1
-    columns = [f"n{k}" for k in range(n_classes)]
-    cut = stash(_chunks(rows, classes, n_classes), "chunks")
-    words = cut.where("slot >= 0")
-    vocabulary = stash(words.groupBy("word").agg(*[F.sum(c).alias(c) for c in columns]), "vocabulary")
-    total = sum((F.col(c) for c in columns), F.lit(0).cast("long"))
-    sums = vocabulary.select(total.alias("c"), "word", *columns).agg(
-        F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v"), *[F.sum(F.when(F.col("word") == F.lit(END), F.col(c))).alias(f"d{k}") for k, c in enumerate(columns)]).first()
-    n_train, n_distinct = int(sums["n"] or 0), int(sums["v"] or 0)
-    docs_of = np.array([float(sums[f"d{k}"] or 0) for k in range(n_classes)])
+    size = rows.agg(F.count(F.when(~F.col("held"), 1)).alias("train"), F.sum(F.octet_length("text")).alias("b")).first()
+    docs_of = np.array([float(r["count"]) for r in top] + [0.0])
+    docs_of[-1] = size["train"] - docs_of.sum()
     prior = np.log10((docs_of + 0.5) / (docs_of.sum() + 0.5 * n_classes))
-    tries, _ = _train(vocabulary.where(total > 0), n_classes)
-    model = spark.sparkContext.broadcast(tries)
-
-    def rate(batches: Iterable) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            s = score_words(model.value, batch.column(0).to_pylist()).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x.tobytes() for x in s], pa.binary())], ["word", "c", "s"])
-
-    rated = vocabulary.select("word", total.alias("c")).mapInArrow(rate, "word binary, c long, s binary")
-    figures = words.select("chunk", "slot", "word").join(rated, "word").select("chunk", "slot", "c", "s")
+    n_parts = max(1, -(-int(size["b"] or 0) // PART_BYTES))
+    cut = stash(_chunks(rows, classes, n_classes, n_parts), "chunks")
+    words = cut.where("slot >= 0").select("chunk", "slot", "word", "c")
+    vocabulary = stash(words.groupBy("word").agg(F.sum("c").alias("c")), "vocabulary")
+    sums = vocabulary.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
+    n_train, n_distinct = int(sums["n"] or 0), int(sums["v"] or 0)
+    windows = cut.where("slot < -1").select((F.lit(-2) - F.col("slot")).cast("int").alias("part"), "chunk", "body")
+    summed = stash(_sum_parts(windows.select("part", "body"), n_classes, n_parts), "windows")
+    scored = _send_back(windows, _score_parts(summed, n_classes), n_classes)
+    figures = words.select("chunk", "slot", "word").join(vocabulary, "word").select("chunk", "slot", "c")
 
     def pack(batches: Iterable) -> Iterator:
         """One row per chunk and some hundred thousand words, to shuffle less."""
@@ -325,15 +404,14 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str |
         def send(held_rows):
             t = pa.Table.from_batches(held_rows)
             chunk, slot, c = (t.column(i).to_numpy() for i in range(3))
-            s = np.frombuffer(b"".join(t.column(3).to_pylist()), np.float32).reshape(-1, n_classes)
             order = np.argsort(chunk, kind="stable")
             cuts = np.flatnonzero(np.diff(chunk[order])) + 1
             for at in np.split(order, cuts):
-                yield chunk[at[0]], _pack(slot[at], c[at], s[at].ravel())
+                yield chunk[at[0]], _pack(slot[at], c[at])
 
         def rows_of(held_rows):
             got = list(send(held_rows))
-            return pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([False] * len(got)), pa.array([g[1] for g in got], pa.binary())], ["chunk", "is_body", "body"])
+            return pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([1] * len(got), pa.int32()), pa.array([g[1] for g in got], pa.binary())], ["chunk", "kind", "body"])
 
         waiting, n = [], 0
         for batch in batches:
@@ -345,27 +423,44 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str |
         if n:
             yield rows_of(waiting)
 
-    schema = "chunk long, is_body boolean, body binary"
-    parts = figures.mapInArrow(pack, schema).unionByName(cut.where("slot = -1").select("chunk", F.lit(True).alias("is_body"), "body"))
+    schema = "chunk long, kind int, body binary"
+    rest = figures.mapInArrow(pack, schema).unionByName(scored).unionByName(cut.where("slot = -1").select("chunk", F.lit(0).alias("kind"), "body"))
     scale = float(np.log10(n_train + 0.1 * (n_distinct + 1)))
 
     def finish(pdf):
         import pandas as pd
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-        keys, nulls, held_, lengths, idx = _unpack(pdf.loc[pdf["is_body"], "body"].iloc[0])
-        n = int(idx.max()) + 1
-        count, s = np.zeros(n, np.int64), np.zeros((n, n_classes))
-        for raw in pdf.loc[~pdf["is_body"], "body"]:
-            slot, c, some = _unpack(raw)
+        keys, nulls, held_, lengths, idx, spans, spelled = _unpack(pdf.loc[pdf["kind"] == 0, "body"].iloc[0])
+        count = np.zeros(len(spans), np.int64)
+        for raw in pdf.loc[pdf["kind"] == 1, "body"]:
+            slot, c = _unpack(raw)
             count[slot] = c
-            s[slot] = some.reshape(-1, n_classes)
         starts = np.cumsum(lengths) - lengths
         base = np.add.reduceat(np.log10(count + 0.1)[idx], starts) - lengths * scale
         known = np.add.reduceat((count > 0).astype(np.int64)[idx], starts)
-        best = np.stack([np.add.reduceat(s[:, k][idx], starts) + prior[k] for k in range(n_classes)], 1).max(axis=1)
+        got = [_unpack(raw) for raw in pdf.loc[pdf["kind"] == 2, "body"]]
+        window = pa.array(np.concatenate([w for w, _ in got]))
+        s = np.concatenate([x.reshape(n_classes, -1) for _, x in got], axis=1)
+        at = np.cumsum(spans) - spans
+        spelled = spelled.tobytes()
+        text = [spelled[i : i + n] for i, n in zip(at.tolist(), spans.tolist())]
+        coded = np.zeros((len(keys), n_classes))
+        for lo, hi in _slices(np.add.reduceat(spans[idx] + 1, starts).tolist()):
+            streams, doc = [], []
+            for i in range(lo, hi):
+                streams += _streams([text[j] for j in idx[starts[i] : starts[i] + lengths[i]].tolist()])
+                doc += [i - lo] * (len(streams) - len(doc))
+            mine, stream = _windows(streams)
+            found = pc.index_in(pa.array(mine), value_set=window).to_numpy()
+            of = np.array(doc)[stream]
+            for k in range(n_classes):
+                coded[lo:hi, k] = np.bincount(of, s[k][found], hi - lo)
+        best = (coded + prior).max(axis=1)
         ids = pd.array(keys, dtype="Int64")
         ids[nulls.astype(bool)] = pd.NA
         return pd.DataFrame({"doc_id": ids, "held_out": held_.astype(bool), "n_tokens": lengths.astype(np.int64), "n_known": known, "train_tokens": n_train, "base_score": base, "score": best})
 
-    return parts.groupBy("chunk").applyInPandas(
+    return rest.groupBy("chunk").applyInPandas(
         finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -286,3 +286,65 @@ def test_scores(spark, docs, empty):
         assert math.isclose(g["base_score"], sum(math.log10((counts.get(x, 0) + 0.1) / (n + 0.1 * (v + 1))) for x in w), rel_tol=1e-9)
         assert g["score"] < 0
     assert ppm.score(docs).count() == len(ROWS) and ppm.score(empty).count() == 0
+
+
+def best_of_classes(rows, streams):
+    """PPM code length of every document by escaping step by step, its best class taken."""
+    held = lambda d: zlib.crc32(str(d).encode()) % 10 == 0
+    langs = sorted({r[2] for r in rows}, key=lambda g: (-sum(r[2] == g and not held(r[0]) for r in rows), g))
+    n, out = sum(not held(r[0]) for r in rows), {r[0]: [] for r in rows}
+    for g in [*langs, None]:
+        docs = [r for r in rows if r[2] == g and not held(r[0])]
+        counts: dict = {}
+        for r in docs:
+            for s in streams(r[1]):
+                counts[s] = counts.get(s, 0) + 1
+        prior = math.log10((len(docs) + 0.5) / (n + 0.5 * (len(langs) + 1)))
+        wanted = [streams(r[1]) for r in rows]
+        scores = iter(brute_streams(counts, [s for w in wanted for s in w], ppm.DEPTH))
+        for r, w in zip(rows, wanted):
+            out[r[0]].append(prior + sum(next(scores) for _ in w))
+    return {d: max(s) for d, s in out.items()}
+
+
+def brute_streams(counts, streams, depth):
+    table: dict = {}
+    for s, c in counts.items():
+        for i in range(1, len(s)):
+            for k in range(min(depth, i) + 1):
+                here = table.setdefault(s[i - k : i], {})
+                here[s[i]] = here.get(s[i], 0) + c
+    out = []
+    for s in streams:
+        total = 0.0
+        for i in range(1, len(s)):
+            seen: set = set()
+            for k in range(min(depth, i), -1, -1):
+                here = table.get(s[i - k : i], {})
+                left = {x: c for x, c in here.items() if x not in seen}
+                if left:
+                    n = sum(left.values()) + len(left)
+                    total += math.log10(left.get(s[i], len(left)) / n)
+                    if s[i] in left:
+                        break
+                seen |= set(here)
+            else:
+                total -= math.log10(257 - len(seen))
+        out.append(total)
+    return out
+
+
+def ppm_rows():
+    r = random.Random(8)
+    pool = {"en": "the cat sat on a mat I ran".split(), "de": "der hund lief über das feld so".split()}
+    return [(i, " ".join(r.choice(pool[g]) for _ in range(r.randint(1, 12))), g, "s", 0, 0, "") for i, g in enumerate(r.choices(["en", "de"], k=120))]
+
+
+def test_ppm_keeps_every_count(spark, monkeypatch):
+    """Rare bytes of a context stay, however many symbols there are."""
+    monkeypatch.setattr(ppm, "MAX_NODES", 50, raising=False)
+    monkeypatch.setattr(ppm, "PART_BYTES", 500, raising=False)
+    rows = ppm_rows()
+    want = best_of_classes(rows, lambda t: ppm._spell([*t.encode().lower().split(), ppm.END]))
+    got = ppm.score(spark.createDataFrame(rows, DOCS).repartition(3)).collect()
+    assert len(got) == len(rows) and all(math.isclose(g["score"], want[g["doc_id"]], rel_tol=1e-5) for g in got)

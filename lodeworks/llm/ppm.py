@@ -1,7 +1,8 @@
 """Language-model scoring by prediction by partial matching (PPM).
 
-A byte-context trie predicts the bytes of each word and the space after it from
-up to ``DEPTH`` bytes before, back to the space before the word.  A context that
+A byte-context trie predicts every byte of a document, read as its words with
+one space between them, from up to ``DEPTH`` bytes before, across words and back
+to the document's start.  A context that
 has not seen the next byte escapes to the next shorter one (method C: the
 escape counts as often as the context has distinct bytes), and bytes that the
 longer context has seen are excluded there.  Below order 0 the bytes left are
@@ -43,7 +44,9 @@ MAX_CLASSES = 15
 #: Text of a chunk, in bytes.
 CHUNK_BYTES = 24 << 20
 #: Text whose windows are made at a time, in bytes.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+#: Windows of slices that wait to be summed.
+WAITING = 1_000_000
 END = b"\n"
 _ALPHABET = 257.0
 
@@ -56,17 +59,20 @@ def _spell(words: list[bytes]) -> list[bytes]:
 def _windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(window, text) of every symbol of the texts but the first of each: the
     context's length in bits 48 to 50, below it the context and the symbol."""
-    data = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint64)
+    window = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint64)
     size = np.fromiter(map(len, texts), np.int64, len(texts))
     begin = np.cumsum(size) - size
-    text = np.repeat(np.arange(len(texts)), size)
-    place = np.arange(len(data)) - begin[text]
-    window = data.copy()
+    data = window.copy()
     for k in range(1, DEPTH + 1):
-        window[k:] |= np.where(place[k:] >= k, data[:-k] << np.uint64(8 * k), np.uint64(0))
-    window |= np.minimum(place, DEPTH).astype(np.uint64) << np.uint64(48)
-    keep = place > 0
-    return window[keep], text[keep]
+        window[k:] |= data[:-k] << np.uint64(8 * k)
+    starts = [begin[size > k] + k for k in range(1, DEPTH)]
+    short = [_shorten(window[at], k) for k, at in enumerate(starts, 1)]
+    window |= np.uint64(DEPTH << 48)
+    for at, w in zip(starts, short):
+        window[at] = w
+    keep = np.ones(len(window), bool)
+    keep[begin] = False
+    return window[keep], np.repeat(np.arange(len(texts)), size - 1)
 
 
 def _shorten(window: np.ndarray, order: int) -> np.ndarray:
@@ -193,8 +199,9 @@ def _unpack(raw: bytes) -> list[np.ndarray]:
 
 
 def _streams(words: list[bytes]) -> list[bytes]:
-    """What the symbols of a document are read from; contexts go back to the start of each."""
-    return _spell(words)
+    """What the symbols of a document are read from: its words, a space around
+    each, and its end in one.  Contexts go back to its start, across words."""
+    return [b" ".join([b"", *words])]
 
 
 def _slices(lengths: Iterable[int]) -> Iterator[tuple[int, int]]:
@@ -233,13 +240,15 @@ def _chunks(docs: DataFrame, classes: dict[str | None, int], n_classes: int, par
             keys = coded.dictionary.to_numpy()
             kind = np.array([n_classes if h else k for h, k in waiting_class])[text]
             at = coded.indices.to_numpy().astype(np.int64) * (n_classes + 1) + kind
-            return keys, np.bincount(at, minlength=len(keys) * (n_classes + 1)).reshape(len(keys), -1)[:, :n_classes]
+            return keys, np.bincount(at, minlength=len(keys) * (n_classes + 1)).reshape(len(keys), -1)[:, :n_classes].astype(np.int32)
 
         def settle():
             if waiting:
                 sums.append(window_sums(waiting))
                 waiting.clear()
                 waiting_class.clear()
+                if len(sums) > 1 and sum(len(k) for k, _ in sums[1:]) > WAITING:
+                    sums[:] = [_merge(np.concatenate([k for k, _ in sums]), np.concatenate([n for _, n in sums]))]
 
         def close():
             settle()
@@ -310,7 +319,7 @@ def _sum_parts(windows: DataFrame, n_classes: int, parts: int) -> DataFrame:
         import pandas as pd
 
         got = [_unpack(raw) for raw in pdf["body"]]
-        keys, n = _merge(np.concatenate([k for k, _ in got]), np.concatenate([n.reshape(n_classes, -1).T for _, n in got]))
+        keys, n = _merge(np.concatenate([k for k, _ in got]), np.concatenate([n.reshape(n_classes, -1).T.astype(np.int64) for _, n in got]))
         shard = _part((keys >> np.uint64(8)) & np.uint64(0xFFFF), parts)
         return pd.DataFrame({"part": pdf["part"].iloc[0], "shard": shard, "window": keys.view(np.int64), **{c: n[:, k] for k, c in enumerate(columns)}})
 
@@ -441,8 +450,9 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str |
         base = np.add.reduceat(np.log10(count + 0.1)[idx], starts) - lengths * scale
         known = np.add.reduceat((count > 0).astype(np.int64)[idx], starts)
         got = [_unpack(raw) for raw in pdf.loc[pdf["kind"] == 2, "body"]]
-        window = pa.array(np.concatenate([w for w, _ in got]))
-        s = np.concatenate([x.reshape(n_classes, -1) for _, x in got], axis=1)
+        window = np.concatenate([w for w, _ in got])
+        by = np.argsort(window)
+        window, s = window[by], np.concatenate([x.reshape(n_classes, -1) for _, x in got], axis=1)[:, by]
         at = np.cumsum(spans) - spans
         spelled = spelled.tobytes()
         text = [spelled[i : i + n] for i, n in zip(at.tolist(), spans.tolist())]
@@ -453,7 +463,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str |
                 streams += _streams([text[j] for j in idx[starts[i] : starts[i] + lengths[i]].tolist()])
                 doc += [i - lo] * (len(streams) - len(doc))
             mine, stream = _windows(streams)
-            found = pc.index_in(pa.array(mine), value_set=window).to_numpy()
+            seen = pc.dictionary_encode(pa.array(mine))
+            found = np.searchsorted(window, seen.dictionary.to_numpy())[seen.indices.to_numpy()]
             of = np.array(doc)[stream]
             for k in range(n_classes):
                 coded[lo:hi, k] = np.bincount(of, s[k][found], hi - lo)

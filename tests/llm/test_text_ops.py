@@ -345,6 +345,19 @@ def test_ppm_keeps_every_count(spark, monkeypatch):
     monkeypatch.setattr(ppm, "MAX_NODES", 50, raising=False)
     monkeypatch.setattr(ppm, "PART_BYTES", 500, raising=False)
     rows = ppm_rows()
-    want = best_of_classes(rows, lambda t: ppm._spell([*t.encode().lower().split(), ppm.END]))
+    want = best_of_classes(rows, lambda t: ppm._streams([*t.encode().lower().split(), ppm.END]))
     got = ppm.score(spark.createDataFrame(rows, DOCS).repartition(3)).collect()
     assert len(got) == len(rows) and all(math.isclose(g["score"], want[g["doc_id"]], rel_tol=1e-5) for g in got)
+
+
+def test_ppm_reads_across_words(spark, monkeypatch):
+    """The code length is that of the document's byte stream, so the order of words matters."""
+    monkeypatch.setattr(ppm, "SLICE_BYTES", 300, raising=False)
+    monkeypatch.setattr(ppm, "CHUNK_BYTES", 900)
+    rows = ppm_rows()
+    rows.append((900, "mat a on sat cat the ran I", "en", "s", 0, 0, ""))
+    rows.append((901, "the cat sat on a mat I ran", "en", "s", 0, 0, ""))
+    want = best_of_classes(rows, lambda t: [b" " + b"".join(w + b" " for w in t.encode().lower().split()) + ppm.END])
+    got = {g["doc_id"]: g["score"] for g in ppm.score(spark.createDataFrame(rows, DOCS).repartition(2)).collect()}
+    assert len(got) == len(rows) and all(math.isclose(got[d], want[d], rel_tol=1e-5) for d in want)
+    assert abs(got[900] - got[901]) > 1e-3

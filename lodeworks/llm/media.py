@@ -3,7 +3,8 @@
 A payload's bytes become the unsigned 8-bit samples of a mono WAV; the wave
 module reads them back.  Frames of samples go through a short-time Fourier
 transform; local peaks of neighbouring frames pair up to codes of two
-frequencies and a distance, stored with the time of the first.
+frequencies and a distance, stored with the time of the first.  Frames overlap
+by half, also beyond both ends of the payload, so every sample is in two.
 """
 
 from __future__ import annotations
@@ -19,16 +20,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RATE = 8000
-FRAME = 576
-HOP = 576
-#: Peaks kept of a frame, and frames and pairs that an anchor looks ahead.
+#: A payload is padded to a multiple of so many bytes.
+UNIT = 576
+FRAME = 192
+HOP = 96
+FILL = 255
+#: Peaks kept of a frame, and frames that an anchor looks ahead.
 PEAKS = 3
 AHEAD = 3
 #: Frames transformed at a time; bounds memory for very long payloads.
 CHUNK = 8192
 
 
-def pad(payload: bytes, unit: int = FRAME, fill: int = 255) -> bytes:
+def pad(payload: bytes, unit: int = UNIT, fill: int = FILL) -> bytes:
     """The payload with ``fill`` bytes up to a positive multiple of ``unit``."""
     return payload + bytes([fill]) * (max(1, -(-len(payload) // unit)) * unit - len(payload))
 
@@ -48,17 +52,19 @@ def from_wav(media: bytes) -> bytes:
         return w.readframes(w.getnframes())
 
 
-_HANN = np.hanning(FRAME).astype(np.float32)
+#: No weight is zero, so that no sample is lost.
+_HANN = np.hanning(FRAME + 2)[1:-1].astype(np.float32)
 
 
 def spectrum_peaks(samples: np.ndarray) -> np.ndarray:
     """(frames, PEAKS) bins of the strongest local peaks of each frame, -1
     where a frame has fewer; magnitudes are rounded, so that ties, which go to
-    the lower bin, are the same on every machine."""
-    frames = samples.reshape(-1, HOP)[:, :FRAME].astype(np.float32)
+    the lower bin, are the same on every machine.  A frame has a peak unless
+    its samples are all equal."""
+    frames = np.lib.stride_tricks.sliding_window_view(samples, FRAME)[::HOP].astype(np.float32)
     frames = (frames - frames.mean(axis=1, keepdims=True)) * _HANN
     mag = np.abs(np.fft.rfft(frames, axis=1))[:, 1:]
-    level = np.round(np.log2(mag + 1.0) * 64).astype(np.int32)
+    level = np.pad(np.round(np.log2(mag + 1.0) * 64).astype(np.int32), ((0, 0), (1, 1)))
     inner = level[:, 1:-1]
     peak = (inner > level[:, :-2]) & (inner >= level[:, 2:])
     # strength first, then the lower bin: one integer orders both
@@ -69,22 +75,17 @@ def spectrum_peaks(samples: np.ndarray) -> np.ndarray:
 
 def fingerprint(payload: bytes) -> np.ndarray:
     """Time-coded pairs as one array of int64: time << 32 | f1 << 20 | f2 << 8 | dt,
-    in order of time."""
-    samples = np.frombuffer(payload, np.uint8)
-    n = len(samples) // HOP
-    peaks = np.concatenate([spectrum_peaks(samples[i * HOP : min(n, i + CHUNK) * HOP]) for i in range(0, n, CHUNK)]) if n else np.empty((0, PEAKS), np.int64)
-    peaks = peaks.astype(np.int64)
+    in order of time.  A peak pairs with every peak of the ``AHEAD`` frames after it."""
+    edge = np.full(HOP, FILL, np.uint8)
+    samples = np.concatenate([edge, np.frombuffer(pad(payload, HOP), np.uint8), edge])
+    n = len(samples) // HOP - 1
+    peaks = np.concatenate([spectrum_peaks(samples[i * HOP : (min(n, i + CHUNK) + 1) * HOP]) for i in range(0, n, CHUNK)]).astype(np.int64)
     out = []
-    for dt in range(1, AHEAD + 1):
-        if n <= dt:
-            break
-        a, b = peaks[:-dt], peaks[dt:]
-        t = np.arange(n - dt, dtype=np.int64)
-        for i in range(PEAKS):
-            # the k-th peak pairs with the k-th later one, so an anchor has few targets
-            ok = (a[:, i] >= 0) & (b[:, i] >= 0)
-            out.append(((t << 32) | (a[:, i] << 20) | (b[:, i] << 8) | dt)[ok])
-    codes = np.concatenate(out) if out else np.empty(0, np.int64)
+    for dt in range(1, min(AHEAD, n - 1) + 1):
+        a, b = peaks[:-dt, :, None], peaks[dt:, None, :]
+        t = np.arange(n - dt, dtype=np.int64)[:, None, None]
+        out.append(((t << 32) | (a << 20) | (b << 8) | dt)[(a >= 0) & (b >= 0)])
+    codes = np.concatenate(out)
     codes.sort()
     return codes
 

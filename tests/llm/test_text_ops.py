@@ -225,6 +225,25 @@ def test_fingerprint_is_local():
     assert (np.diff(t) >= 0).all() and ((f1 > 0) & (f2 > 0) & (f1 < 289) & (f2 < 289) & (dt >= 1) & (dt <= media.AHEAD)).all()
 
 
+def test_fingerprint_of_short_and_shifted_payloads():
+    texts = ["a", "the cat sat", "the dog sat", "x" * 95, "word " * 90]
+    codes = [media.fingerprint(media.pad(t.encode())) for t in texts]
+    assert all(len(c) for c in codes) and len({c.tobytes() for c in codes}) == len(texts)
+    r = random.Random(9)
+    passage = bytes(r.randrange(97, 123) for _ in range(2000))
+    pairs = lambda head: set((media.fingerprint(media.pad(head + passage)) & 0xFFFFFFFF).tolist())
+    whole, moved = pairs(b""), pairs(b"#" * 96)
+    assert len(whole & moved) >= 0.9 * len(whole)
+
+
+def test_fingerprint_pairs_all_peaks_of_the_zone():
+    payload = bytes(random.Random(10).randrange(256) for _ in range(576 * 4))
+    edge = bytes([255]) * media.HOP
+    peaks = media.spectrum_peaks(np.frombuffer(edge + payload + edge, np.uint8))
+    want = sorted(t << 32 | int(f) << 20 | int(g) << 8 | d for t, a in enumerate(peaks) for d in range(1, media.AHEAD + 1) if t + d < len(peaks) for f in a if f > 0 for g in peaks[t + d] if g > 0)
+    assert media.fingerprint(payload).tolist() == want
+
+
 def brute_ppm(counts, words, depth):
     """log10 probability of each word by escaping step by step."""
     table = {}

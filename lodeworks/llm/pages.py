@@ -29,7 +29,7 @@ CONSTANT_PAGES, CONSTANT_SHARE = 4, 0.3
 REGION_SHARE = 0.85
 #: Elements nested deeper are kept at this depth.
 MAX_DEPTH = 150
-#: Pairs of children that one alignment looks at; longer lists are matched in order of their signatures.
+#: Pairs of children that one alignment looks at; longer lists are aligned in memory that grows with their length only.
 MAX_CELLS = 40_000
 #: Hosts and bytes of wrappers that are broadcast; more are joined by host.
 BROADCAST_HOSTS, BROADCAST_BYTES = 50_000, 32 << 20
@@ -211,8 +211,8 @@ def match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None = None) -> int
     keep order and ancestry; ``pairs`` gets one such set.
 
     Children are aligned by dynamic programming over the sizes of their best
-    matchings.  Lists whose product exceeds ``MAX_CELLS`` are aligned in order
-    of equal signatures only.
+    matchings.  Lists whose product exceeds ``MAX_CELLS`` are aligned as well as
+    others, by :func:`align`.
     """
     if a.sig != b.sig:
         return 0
@@ -222,13 +222,11 @@ def match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None = None) -> int
     if not xs or not ys:
         return 1
     if len(xs) * len(ys) > MAX_CELLS:
-        j, total = 0, 1
-        for x in xs:
-            k = next((k for k in range(j, min(len(ys), j + 50)) if ys[k].sig == x.sig), None)
-            if k is not None:
-                total += match(x, ys[k], pairs)
-                j = k + 1
-        return total
+        total, found = align(xs, ys)
+        if pairs is not None:
+            for i, j in found:
+                match(xs[i], ys[j], pairs)
+        return 1 + total
     w = [[(min(x.size, y.size) if not x.kids or not y.kids or max(x.size, y.size) == 1 else match(x, y)) if x.sig == y.sig else 0 for y in ys] for x in xs]
     m = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
     for i in range(len(xs)):
@@ -249,6 +247,55 @@ def match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None = None) -> int
     return 1 + m[len(xs)][len(ys)]
 
 
+def align(xs: list[Node], ys: list[Node]) -> tuple[int, list[tuple[int, int]]]:
+    """(size, index pairs) of a best alignment of two lists of elements, by
+    Hirschberg's halving: rows of the table only, and one matching for each two
+    shapes."""
+    import numpy as np
+
+    shapes: dict = {}
+
+    def shape(n: Node) -> int:
+        return shapes.setdefault((n.sig, n.size, bool(n.kids), tuple(shape(k) for k in elements(n))), len(shapes))
+
+    sx, sy = [shape(x) for x in xs], [shape(y) for y in ys]
+    kinds, code = np.unique(sy, return_inverse=True)
+    example = {k: ys[sy.index(k)] for k in kinds.tolist()}
+    weights: dict = {}
+
+    def weight(x: Node, y: Node) -> int:
+        if x.sig != y.sig:
+            return 0
+        return min(x.size, y.size) if not x.kids or not y.kids or max(x.size, y.size) == 1 else match(x, y)
+
+    for x, k in zip(xs, sx):
+        if k not in weights:
+            weights[k] = np.array([weight(x, example[y]) for y in kinds.tolist()], np.int64)
+
+    def last(rows, columns):
+        """The last row of the table."""
+        row = np.zeros(len(columns) + 1, np.int64)
+        for k in rows:
+            row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + weights[k][columns]))
+        return row
+
+    found, todo = [], [(0, len(xs), 0, len(ys))]
+    while todo:
+        a, b, c, d = todo.pop()
+        if a == b or c == d:
+            continue
+        if b - a == 1:
+            w = weights[sx[a]][code[c:d]]
+            if w.max() > 0:
+                found.append((a, c + int(w.argmax())))
+            continue
+        m = (a + b) // 2
+        cut = c + int((last(sx[a:m], code[c:d]) + last(sx[m:b][::-1], code[c:d][::-1])[::-1]).argmax())
+        todo += [(a, m, c, cut), (m, b, cut, d)]
+    found.sort()
+    return sum(int(weights[sx[i]][code[j]]) for i, j in found), found
+
+
 def path(node: Node) -> list[str]:
     out = []
     while node.parent is not None:

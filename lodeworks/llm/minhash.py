@@ -15,6 +15,7 @@ task, which sends one link for each two groups that it joins.
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,14 +39,14 @@ BLOCK = 4096
 SLACK = 0.18
 
 
-def weighted_shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def weighted_shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, weight, row), sorted by row and hash, of the texts of one slice.
 
     A text of fewer words than ``size`` has one shingle of all its words; one
     without words has none.  The weight of a shingle is its count.
     """
     starts, ends, row = word_spans(data, offsets)
-    h, r = shingle_hashes(word_hashes(data, starts, ends), row, size)
+    h, r = shingle_hashes(word_hashes(data, starts, ends, seed), row, size)
     order = np.lexsort((h, r))
     h, r = h[order], r[order]
     if not len(h):
@@ -136,7 +137,7 @@ def sign(docs: DataFrame, key: Column, text: str = "text", size: int = SHINGLE,
         import pyarrow as pa
 
         for batch in batches:
-            for lo, rows, h, w, row in _shingled(batch, size):
+            for lo, rows, h, w, row, _ in _shingled(batch, size):
                 bands = _bands(signatures(h, w, row, len(rows), registers, seed), band).view(np.int64)
                 offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * bands.shape[1])
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows + lo)), pa.ListArray.from_arrays(offsets, pa.array(bands.ravel()))], ["key", "bands"])
@@ -144,27 +145,31 @@ def sign(docs: DataFrame, key: Column, text: str = "text", size: int = SHINGLE,
     return docs.select(key.alias("key"), F.col(text).cast("string").alias("text")).where("text IS NOT NULL").mapInArrow(run, "key binary, bands array<long>")
 
 
-def _shingled(batch, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, rows with a word, hash, weight, place in rows) of slices of
-    a batch of (key, text)."""
+def _shingled(batch, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, tuple]]:
+    """(first row, rows with a word, hash, weight, place in rows, the slice) of
+    slices of a batch of (key, text)."""
     data, offsets = flat(batch.column(1))
     for lo, hi in slices(offsets, SLICE_BYTES):
-        h, w, row = weighted_shingles(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], size)
+        piece = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+        h, w, row = weighted_shingles(*piece, size)
         keep = np.unique(row)
         if len(keep):
-            yield lo, keep, h, w, np.searchsorted(keep, row)
+            yield lo, keep, h, w, np.searchsorted(keep, row), piece
 
 
-def shingle_table(texts: DataFrame, size: int = SHINGLE, registers: int = REGISTERS, seed: int = 1) -> DataFrame:
-    """(key, h, w, sig) of (key, text): sorted shingle hashes, weights (null if
-    all are one) and registers, as bytes."""
+def shingle_table(texts: DataFrame, size: int = SHINGLE, registers: int = REGISTERS, seed: int = 1, secret: int = 0) -> DataFrame:
+    """(key, h, w, sig) of (key, text): sorted shingle hashes under ``secret``,
+    weights (null if all are one) and registers, as bytes."""
 
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            for lo, rows, h, w, row in _shingled(batch, size):
+            for lo, rows, h, w, row, piece in _shingled(batch, size):
                 sig = signatures(h, w, row, len(rows), registers, seed)
+                if secret:
+                    h, w, row = weighted_shingles(*piece, size, secret)
+                    row = np.searchsorted(rows, row)
                 cut = np.searchsorted(row, np.arange(len(rows) + 1))
                 spans = list(zip(cut, cut[1:]))
                 yield pa.RecordBatch.from_arrays(
@@ -277,8 +282,8 @@ def bucket_links(members: DataFrame, threshold: float, registers: int) -> DataFr
 
 
 def text_key(text: Column) -> Column:
-    """A 128-bit key of a text; null for a null text."""
-    return F.unhex(F.md5(text))
+    """A key of a text, the first 128 bits of its SHA-256; null for a null text."""
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
 
 
 def maybe_in(rows: DataFrame, keys: DataFrame, column: str, bits: int = 1 << 23) -> DataFrame:
@@ -315,8 +320,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     empty table gives an empty result; other columns are not read.
 
     At a similarity of 0.8, 128 registers in bands of 4 miss a pair with
-    probability (1 - 0.8**4)**32 = 5e-8.
+    probability (1 - 0.8**4)**32 = 5e-8.  Links are verified on 64-bit hashes of
+    shingles under a secret drawn for each run, which nobody can write
+    colliding texts for.
     """
+    secret = secrets.randbits(63) | 1
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_key(F.col(text)).alias("key"), F.col(text).cast("string").alias("text"))
     signed = stash(sign(rows, F.col("key"), "text", size, registers, band), "signatures")
     hashes = signed.select("key", F.explode("bands").alias("bucket")).withColumn("r", F.xxhash64("key", "bucket"))
@@ -327,7 +335,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     stars = members.where("r != first").join(drawn, "bucket").select(F.least("c", "key").alias("a"), F.greatest("c", "key").alias("b")).distinct()
     named = members.select("key").distinct()
     some = maybe_in(rows.where("key IS NOT NULL").select("key", "text"), named, "key")
-    shingles = stash(shingle_table(some.groupBy("key").agg(F.first("text").alias("text")).join(named, "key"), size, registers), "shingles")
+    shingles = stash(shingle_table(some.groupBy("key").agg(F.first("text").alias("text")).join(named, "key"), size, registers, secret=secret), "shingles")
     links = stash(verify(stars, shingles, threshold), "links")
     roots = connected_components(links)
     # buckets that still hold several groups

@@ -23,7 +23,6 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textio import word_hashes
 from .unitcache import UnitIds
 
 SPACE = "▁"
@@ -373,7 +372,9 @@ class PieceModel:
         begin[offsets] = True
         starts = np.flatnonzero(begin[:-1])
         ends = np.append(starts[1:], len(cp))
-        ids, size = known.ids(word_hashes(cp, starts, ends), lambda at: self.encode_units([joined[i:j] for i, j in zip(starts[at], ends[at])]))
+        far = np.concatenate([[0], np.cumsum(cp > 0xFFFF)])  # characters of more than 16 bits
+        exact = None if not far[-1] else far[ends] == far[starts]
+        ids, size = known.ids(cp.astype("<u2"), starts, ends, lambda at: [joined[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist())], self.encode_units, exact)
         upto = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(starts, offsets)]
         out = [ids[i:j] for i, j in zip(upto, upto[1:])]
         if not self.byte_fallback:  # a run of unknown characters is one unknown piece

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +13,9 @@ import pyarrow.compute as pc
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
-_MULT = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
+#: Words longer than this are hashed one by one.
+LONG_WORD = 256
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
 def flat(col) -> tuple[np.ndarray, np.ndarray]:
@@ -51,24 +53,23 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _powers(n: int) -> np.ndarray:
-    """The multiplier's powers 0..n modulo 2**64."""
-    out = np.empty(n + 1, np.uint64)
-    out[0] = 1
-    out[1:] = _MULT
-    with np.errstate(over="ignore"):
-        np.multiply.accumulate(out, out=out)
-    return out
-
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each byte of an array on, as one word (zeros behind the end)."""
+    raw = np.concatenate([np.ascontiguousarray(data).view(np.uint8), np.zeros(8, np.uint8)])
+    return np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
 
-_CACHE: dict[str, np.ndarray] = {}
 
-
-def powers(n: int) -> np.ndarray:
-    got = _CACHE.get("p")
-    if got is None or len(got) < n:
-        got = _CACHE["p"] = _powers(max(n, 1 << 16))
-    return got[:n]
+def packed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, words: int) -> list[np.ndarray]:
+    """The spans' bytes as columns of 64-bit words, zeros behind their ends.
+    With its length this is the whole span, if it has no more bytes."""
+    eight, out = eights(data), []
+    at, left = starts * data.itemsize, (ends - starts) * data.itemsize
+    for k in range(words):
+        column = np.zeros(len(starts), np.uint64)
+        here = np.flatnonzero(left > 8 * k)
+        column[here] = eight[at[here] + 8 * k] & _LOW[np.minimum(left[here] - 8 * k, 8)]
+        out.append(column)
+    return out
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,30 +93,26 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit polynomial hash of each span of bytes or code points, the same
-    wherever it stands.
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each span of bytes, the same wherever it stands.
 
-    Horner's polynomial sum(byte * M**(end - i)) is a difference of prefix
-    sums once each byte is weighted with the inverse power of its place.
+    Eight bytes at a time go through a finaliser that is not linear, so texts
+    of a regular make do not collide by algebra.  Who must not be able to write
+    colliding words draws a ``seed`` for each run.
     """
-    n = len(data)
-    if not len(starts):
-        return np.empty(0, np.uint64)
-    inverse = _CACHE.get("i")
-    if inverse is None or len(inverse) < n:
-        inv = np.empty(max(n, 1 << 16), np.uint64)
-        inv[0] = 1
-        inv[1:] = pow(_MULT, -1, 1 << 64)
-        with np.errstate(over="ignore"):
-            np.multiply.accumulate(inv, out=inv)
-        inverse = _CACHE["i"] = inv
+    size = ends - starts
     with np.errstate(over="ignore"):
-        sums = np.empty(n + 1, np.uint64)
-        sums[0] = 0
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * inverse[:n], out=sums[1:])
-        h = (sums[ends] - sums[starts]) * powers(n + 1)[ends]
-        return mix(h + (ends - starts).astype(np.uint64))
+        h = mix(size.astype(np.uint64) ^ mix(np.array([seed & (1 << 64) - 1], np.uint64)))
+        eight, live, k = eights(data), np.flatnonzero((size > 0) & (size <= LONG_WORD)), 0
+        while len(live):
+            block = eight[starts[live] + 8 * k] & _LOW[np.minimum(size[live] - 8 * k, 8)]
+            h[live] = mix((h[live] + np.uint64(0x9E3779B97F4A7C15)) ^ mix(block + np.uint64(0xD6E8FEB86659FD93)))
+            k += 1
+            live = live[size[live] > 8 * k]
+    key = (seed & (1 << 64) - 1).to_bytes(8, "little")
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        h[i] = int.from_bytes(blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8, key=key).digest(), "little")
+    return h
 
 
 def shingle_hashes(words: np.ndarray, row: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,18 +122,17 @@ def shingle_hashes(words: np.ndarray, row: np.ndarray, size: int) -> tuple[np.nd
     if n == 0:
         return words, row
     with np.errstate(over="ignore"):
-        mult = [np.uint64(pow(0xD6E8FEB86659FD93, k + 1, 1 << 64)) for k in range(size)]
         h = np.zeros(n, np.uint64)
         same = np.ones(n, bool)
         for k in range(size):
             shifted = np.zeros(n, np.uint64)
             at = np.full(n, -1, row.dtype)
-            shifted[: n - k] = words[k:]
-            at[: n - k] = row[k:]
+            shifted[: max(0, n - k)] = words[k:]
+            at[: max(0, n - k)] = row[k:]
             here = at == row
-            h += np.where(here, shifted, np.uint64(0)) * mult[k]
+            h = np.where(here, mix(h * np.uint64(0xD6E8FEB86659FD93) + shifted + np.uint64(k)), h)
             same &= here
         first = np.ones(n, bool)
         first[1:] = row[1:] != row[:-1]
         keep = same | (first & ~same)
-        return mix(h[keep]), row[keep]
+        return h[keep], row[keep]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storage import map_array, scratch, write_bytes
-from .textio import flat, slices, word_hashes
+from .textio import flat, slices
 from .unitcache import UnitIds
 
 #: Distinct units whose ids a worker remembers, and bytes of text encoded at a time.
@@ -89,14 +89,16 @@ class Encoder:
         ends = np.append(starts[1:], len(data))
         raw = data.tobytes()
 
-        def new(at: np.ndarray) -> list[np.ndarray]:
+        def spell(at: np.ndarray) -> list[str]:
+            return [raw[i:j].decode() for i, j in zip(starts[at].tolist(), ends[at].tolist())]
+
+        def new(units: list[str]) -> list[np.ndarray]:
             out = []
-            for lo in range(0, len(at), 20_000):
-                part = [raw[i:j].decode() for i, j in zip(starts[at[lo : lo + 20_000]], ends[at[lo : lo + 20_000]])]
-                out += [np.array(e.ids, self.known.dtype) for e in self.tok.encode_batch_fast(part, add_special_tokens=False)]
+            for lo in range(0, len(units), 20_000):
+                out += [np.array(e.ids, self.known.dtype) for e in self.tok.encode_batch_fast(units[lo : lo + 20_000], add_special_tokens=False)]
             return out
 
-        ids, size = self.known.ids(word_hashes(data, starts, ends), new)
+        ids, size = self.known.ids(data, starts, ends, spell, new)
         upto = np.concatenate([[0], np.cumsum(size)])
         return ids, np.diff(upto[np.searchsorted(starts, offsets)])
 

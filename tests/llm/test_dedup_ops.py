@@ -51,6 +51,25 @@ def test_word_hashes_do_not_depend_on_place():
     assert r.tolist() == [0, 1]
 
 
+def test_texts_of_a_regular_make_do_not_collide(spark):
+    rows = []
+    for n in (1024, 2048):
+        bits = [bin(i).count("1") & 1 for i in range(n)]
+        rows += [(n, "".join("ab"[b] for b in bits)), (n + 1, "".join("ba"[b] for b in bits))]
+        rows += [(-n, " ".join("ab"[b] for b in bits)), (-n - 1, " ".join("ba"[b] for b in bits))]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    linked = {r["doc_id"] for r in got if r["n_copies"] > 1}
+    # as lists of words the two share all but a few shingles of five words
+    assert not linked & {1024, 1025, 2048, 2049}
+    words = np.frombuffer("".join("ab"[bin(i).count("1") & 1] for i in range(4096)).encode(), np.uint8)
+    at = np.arange(0, 4096, 1024)
+    assert len(set(word_hashes(words, at[:2], at[:2] + 1024).tolist())) == 2  # long words
+    at = np.arange(0, 4096, 128)
+    texts = {words[i : i + 128].tobytes() for i in at}
+    assert len(set(word_hashes(words, at, at + 128).tolist())) == len(texts)
+    assert word_hashes(words, at, at + 128, 7)[0] != word_hashes(words, at, at + 128, 8)[0]
+
+
 def slow_jaccard(x, y):
     total = 0.0
     for i in set(x) & set(y):

@@ -54,6 +54,46 @@ def test_token_units_never_change_ids():
         assert [ids[e - n : e].tolist() for e, n in zip(ends, size)] == [w.ids for w in tok.encode_batch(part, add_special_tokens=False)]
 
 
+def thue_morse(n):
+    """Two texts of n letters that polynomial hashes modulo a power of two confuse."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return ["".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)]
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_units_that_collide_by_algebra(spark, n):
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    texts = thue_morse(n)
+    path = tokenizer_file("byte_bpe_50k.json")
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    got = tokens.read_token_files(tokens.tokenize_to_files(rows, path)[1]).orderBy("doc_id").collect()
+    want = [[*e.ids, 0] for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert want[0] != want[1] and [r["ids_crc32"] for r in got] == [zlib.crc32(np.array(w, "<u4").tobytes()) for w in want]
+    path = tokenizer_file("piece_bpe_32k.model")
+    lib = sentencepiece.SentencePieceProcessor(model_file=path)
+    got = pieces.encode(rows, path, check=True).orderBy("doc_id").collect()
+    assert [r["ids"] for r in got] == lib.encode(texts) and all(r["round_trip"] for r in got)
+
+
+def test_unit_store_compares_units(monkeypatch):
+    """With all hashes equal the ids are still those of the unit."""
+    from lodeworks.llm import unitcache
+
+    monkeypatch.setattr(unitcache, "mix", lambda x: x * np.uint64(0))
+    r = random.Random(3)
+    store = UnitIds(np.int32, limit=40)
+    for _ in range(20):
+        units = ["".join(r.choice("ab") for _ in range(r.randint(1, 20))) for _ in range(60)]
+        ends = np.cumsum([len(u) for u in units])
+        starts = ends - [len(u) for u in units]
+        data = np.frombuffer("".join(units).encode(), np.uint8)
+        code = lambda some: [np.array([int("1" + u.replace("a", "0").replace("b", "1"), 2)] * (len(u) % 3)) for u in some]
+        ids, size = store.ids(data, starts, ends, lambda at: [units[i] for i in at], code)
+        assert ids.tolist() == [x for c in code(units) for x in c.tolist()] and size.tolist() == [len(u) % 3 for u in units]
+
+
 def test_token_files(spark, docs, empty):
     from tokenizers import Tokenizer
 

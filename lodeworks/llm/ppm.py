@@ -7,17 +7,20 @@ has not seen the next byte escapes to the next shorter one (method C: the
 escape counts as often as the context has distinct bytes), and bytes that the
 longer context has seen are excluded there.  Below order 0 the bytes left are
 equally likely.  The trie is trained once, on the training documents, one for
-each class of documents; a text's code length is that of its best class plus
-that of naming the class.
-
-A byte's context alone decides its code length, so each distinct window (a
-context and the byte after it) is scored once.  Documents are first cut into
-chunks; the distinct windows of a chunk go out in parts by hash, and are summed
-there over all chunks.  The sums are dealt by the last two bytes of context:
-all contexts from order 2 on that a window escapes to end in them, and those of
-orders 0 and 1, at most 65,792 nodes, are sent to every task.  So no count is
-dropped, and no task holds the whole trie.  Every chunk gets back the scores of
-its own windows and adds them up along its documents.
+each class of documents; a text's code length is that of its class plus that of
+naming the class.
+
+The class of a text is that whose trie of orders 0 and 1, at most 65,792 nodes,
+codes it best; so every text is scored by one trie.
+
+A byte's context and class alone decide its code length, so each distinct window
+(class, context and the byte after it) is scored once.  Documents are first cut
+into chunks; the distinct windows of a chunk go out in parts by hash, and are
+summed there over all chunks.  The sums are dealt by class and the last two bytes
+of context, or three where two are very frequent: all contexts that a window
+escapes to end in them but the shortest ones, which are sent to every task.  So
+no count is dropped, and no task holds the whole trie.  Every chunk gets back the
+scores of its own windows and adds them up along its documents.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 from pyspark import TaskContext
@@ -39,14 +43,19 @@ from .textio import mix
 DEPTH = 5
 #: Text that makes a part of the windows, in bytes: their number grows with the input.
 PART_BYTES = 32 << 20
-#: Languages with a class of their own; all others share one.
+#: Classes of the model: the most frequent languages, and one for all other training documents.
 MAX_CLASSES = 15
+#: Distinct windows of a class that one task scores; more are dealt by another byte of context.
+HOT_WINDOWS = 2_000_000
 #: Text of a chunk, in bytes.
 CHUNK_BYTES = 24 << 20
 #: Text whose windows are made at a time, in bytes.
 SLICE_BYTES = 1 << 20
 #: Windows of slices that wait to be summed.
 WAITING = 1_000_000
+#: Where the class stands in a key, above the window.
+_CLASS = np.uint64(52)
+_WINDOW = np.uint64((1 << 52) - 1)
 END = b"\n"
 _ALPHABET = 257.0
 
@@ -198,10 +207,10 @@ def _unpack(raw: bytes) -> list[np.ndarray]:
     return out
 
 
-def _streams(words: list[bytes]) -> list[bytes]:
+def _stream(text: bytes) -> bytes:
     """What the symbols of a document are read from: its words, a space around
     each, and its end in one.  Contexts go back to its start, across words."""
-    return [b" ".join([b"", *words])]
+    return b" ".join([b"", *text.lower().split(), END])
 
 
 def _slices(lengths: Iterable[int]) -> Iterator[tuple[int, int]]:
@@ -220,81 +229,121 @@ def _part(window: np.ndarray, parts: int) -> np.ndarray:
     return (mix(window) % np.uint64(parts)).astype(np.int64)
 
 
-def _chunks(docs: DataFrame, classes: dict[str | None, int], n_classes: int, parts: int) -> DataFrame:
-    """Chunks of documents: a row with the packed documents (slot -1), a row
-    (slot, word, count in training documents) for every word, and a row with
-    the packed windows and their training counts by class for each part of
-    them (slot -2 less the part)."""
+def _class_of(stream: np.ndarray, pair: np.ndarray, n: int, table: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    """The class that codes each of ``n`` streams best by orders 0 and 1."""
+    coded = np.stack([np.bincount(stream, row[pair], n) for row in table])
+    return (coded + prior[:, None]).argmax(axis=0)
+
+
+def _pairs(rows: DataFrame, n_classes: int) -> DataFrame:
+    """(class, pair, n): how often two bytes follow each other in the streams
+    of the training documents of each class, from (class, text)."""
+
+    def count(batches: Iterable) -> Iterator:
+        import pyarrow as pa
+
+        total = np.zeros(n_classes << 16, np.int64)
+        for batch in batches:
+            kind, at = batch.column(0).to_numpy(), 0
+            for texts in _text_slices(batch.column(1)):
+                window, doc = _windows([_stream(t) for t in texts])
+                total += np.bincount((kind[at + doc].astype(np.int64) << 16) | (window & np.uint64(0xFFFF)).astype(np.int64), minlength=len(total))
+                at += len(texts)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"class": pa.array(seen >> 16, pa.int32()), "pair": pa.array(seen & 0xFFFF, pa.int32()), "n": pa.array(total[seen])})
+
+    return rows.mapInArrow(count, "class int, pair int, n long").groupBy("class", "pair").agg(F.sum("n").alias("n"))
+
+
+def _text_slices(column) -> Iterator[list[bytes]]:
+    """The texts of an Arrow column, some at a time."""
+    for i in range(0, len(column), 64):
+        yield [(t or "").encode() for t in column.slice(i, 64).to_pylist()]
+
+
+def _word_parts(words: list[bytes], parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the words in order of their part, bounds of the parts there)."""
+    of = np.fromiter((crc32(w) % parts for w in words), np.int64, len(words))
+    by = np.argsort(of, kind="stable")
+    return by, np.searchsorted(of[by], np.arange(parts + 1))
+
+
+def _chunks(docs: DataFrame, table, prior: np.ndarray, parts: int) -> DataFrame:
+    """Chunks of (doc_id, text, class, held): rows (chunk, kind, part, body).
+
+    Kind 0 are the packed documents, kind 1 the distinct words of a part and
+    their counts in training documents, kind 2 the distinct windows of a part
+    and theirs.  ``table`` broadcasts the code lengths of pairs by class.
+    """
 
     def cut(batches: Iterable) -> Iterator:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        part, seq = TaskContext.get().partitionId(), 0
-        schema = pa.schema([("chunk", pa.int64()), ("slot", pa.int32()), ("word", pa.binary()), ("c", pa.int64()), ("body", pa.binary())])
-
-        def window_sums(texts):
-            """The distinct windows of some texts, and their training counts."""
-            window, text = _windows(texts)
-            coded = pc.dictionary_encode(pa.array(window))
-            keys = coded.dictionary.to_numpy()
-            kind = np.array([n_classes if h else k for h, k in waiting_class])[text]
-            at = coded.indices.to_numpy().astype(np.int64) * (n_classes + 1) + kind
-            return keys, np.bincount(at, minlength=len(keys) * (n_classes + 1)).reshape(len(keys), -1)[:, :n_classes].astype(np.int32)
+        task, seq = TaskContext.get().partitionId(), 0
 
         def settle():
-            if waiting:
-                sums.append(window_sums(waiting))
-                waiting.clear()
-                waiting_class.clear()
-                if len(sums) > 1 and sum(len(k) for k, _ in sums[1:]) > WAITING:
-                    sums[:] = [_merge(np.concatenate([k for k, _ in sums]), np.concatenate([n for _, n in sums]))]
+            """The distinct windows of the waiting documents, and their training counts."""
+            if not waiting:
+                return
+            window, doc = _windows(waiting)
+            label, train = np.array(labels[len(chosen) :]), ~np.array(held[len(chosen) :], bool)
+            mine = _class_of(doc, (window & np.uint64(0xFFFF)).astype(np.int64), len(waiting), table.value, prior)
+            same = train & (mine == label)
+            stray = np.flatnonzero((train & ~same)[doc])  # learned under another class than scored
+            keys = np.concatenate([window | (mine.astype(np.uint64)[doc] << _CLASS), window[stray] | (label.astype(np.uint64)[doc[stray]] << _CLASS)])
+            coded = pc.dictionary_encode(pa.array(keys))
+            weight = np.concatenate([same[doc], np.ones(len(stray), bool)])
+            keys, at = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+            sums.append((keys, np.bincount(at[weight], minlength=len(keys))))
+            chosen.extend(mine.tolist())
+            waiting.clear()
+            if len(sums) > 1 and sum(len(k) for k, _ in sums[1:]) > WAITING:
+                sums[:] = [_merge(np.concatenate([k for k, _ in sums]), np.concatenate([n for _, n in sums]))]
 
         def close():
             settle()
-            chunk = (part << 24) + seq
             words = np.concatenate(idx)
             lengths = np.array(sizes, np.int32)
-            train = ~np.array(held, bool)
-            counts = np.bincount(words[np.repeat(train, lengths)], minlength=len(slots))
+            counts = np.bincount(words[np.repeat(~np.array(held, bool), lengths)], minlength=len(slots))
             keys = np.array([0 if i is None else i for i in ids], np.int64)
             text = list(slots)
-            spelled = np.frombuffer(b"".join(text), np.uint8)
-            bodies = [_pack(keys, np.array([i is None for i in ids], np.uint8), np.array(held, np.uint8), lengths, words.astype(np.int32), np.fromiter(map(len, text), np.int64, len(text)), spelled)]
+            slots.clear()
+            spans = np.fromiter(map(len, text), np.int32, len(text))
+            found = [(0, 0, _pack(keys, np.array([i is None for i in ids], np.uint8), np.array(held, np.uint8), np.array(chosen, np.uint16), lengths, words.astype(np.int32), spans, np.frombuffer(b"".join(text), np.uint8)))]
+            by, ends = _word_parts(text, parts)
+            for p in np.flatnonzero(np.diff(ends)).tolist():
+                at = by[ends[p] : ends[p + 1]]
+                found.append((1, p, _pack(spans[at], np.frombuffer(b"".join([text[i] for i in at.tolist()]), np.uint8), counts[at])))
             window, n = _merge(np.concatenate([k for k, _ in sums]), np.concatenate([n for _, n in sums]))
             sums.clear()
             of = _part(window, parts)
             by = np.argsort(of, kind="stable")
             ends = np.searchsorted(of[by], np.arange(parts + 1))
-            here = [p for p in range(parts) if ends[p] < ends[p + 1]]
-            for p in here:
+            for p in np.flatnonzero(np.diff(ends)).tolist():
                 at = by[ends[p] : ends[p + 1]]
-                bodies.append(_pack(window[at], n[at].T.ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(bodies), chunk)), pa.array([-1, *(-2 - p for p in here)], pa.int32()), pa.nulls(len(bodies), pa.binary()), pa.array(np.zeros(len(bodies), np.int64)), pa.array(bodies, pa.binary())], schema=schema)
-            for lo in range(0, len(text), 50_000):
-                hi = min(len(text), lo + 50_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(hi - lo, chunk)), pa.array(np.arange(lo, hi, dtype=np.int32)), pa.array(text[lo:hi], pa.binary()), pa.array(counts[lo:hi]), pa.nulls(hi - lo, pa.binary())], schema=schema)
+                found.append((2, p, _pack(window[at], n[at])))
+            kind, part, body = zip(*found)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(body), (task << 24) + seq)), pa.array(kind, pa.int32()), pa.array(part, pa.int32()), pa.array(body, pa.binary())], ["chunk", "kind", "part", "body"])
 
         def numbering():
             d: defaultdict = defaultdict()
             d.default_factory = d.__len__
             return d
 
-        slots, ids, held, sizes, idx, size = numbering(), [], [], [], [], 0
-        waiting, waiting_class, sums, waiting_size = [], [], [], 0
+        slots, ids, held, labels, chosen, sizes, idx, size = numbering(), [], [], [], [], [], [], 0
+        waiting, sums, waiting_size = [], [], 0
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
-                for doc, text, lang, out in zip(*(batch.column(c).slice(i, 256).to_pylist() for c in range(4))):
+                for doc, text, label, out in zip(*(batch.column(c).slice(i, 256).to_pylist() for c in range(4))):
                     raw = (text or "").encode()
                     words = raw.lower().split()
                     words.append(END)
                     idx.append(np.fromiter(map(slots.__getitem__, words), np.int32, len(words)))
-                    waiting += _streams(words)
-                    waiting_class += [(out, classes.get(lang, n_classes - 1))] * (len(waiting) - len(waiting_class))
+                    waiting.append(b" ".join([b"", *words]))
                     waiting_size += len(raw)
                     ids.append(doc)
+                    labels.append(label)
                     held.append(out)
                     sizes.append(len(words))
                     size += len(raw)
@@ -304,54 +353,98 @@ def _chunks(docs: DataFrame, classes: dict[str | None, int], n_classes: int, par
                     if size >= CHUNK_BYTES:
                         yield from close()
                         seq += 1
-                        slots, ids, held, sizes, idx, size = numbering(), [], [], [], [], 0
+                        slots, ids, held, labels, chosen, sizes, idx, size, waiting_size = numbering(), [], [], [], [], [], [], 0, 0
         if ids:
             yield from close()
 
-    return docs.mapInArrow(cut, "chunk long, slot int, word binary, c long, body binary")
+    return docs.mapInArrow(cut, "chunk long, kind int, part int, body binary")
 
 
-def _sum_parts(windows: DataFrame, n_classes: int, parts: int) -> DataFrame:
-    """(part, shard, window, counts by class) of the distinct windows of (part, body)."""
-    columns = [f"n{k}" for k in range(n_classes)]
+def _count_words(words: DataFrame) -> DataFrame:
+    """From (part, chunk, body) of kind 1: rows (chunk, kind 1, part, body) with
+    the words' counts over all chunks, and one row of each part with chunk -1
+    and (tokens, distinct words) of it."""
 
     def total(pdf):
         import pandas as pd
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-        got = [_unpack(raw) for raw in pdf["body"]]
-        keys, n = _merge(np.concatenate([k for k, _ in got]), np.concatenate([n.reshape(n_classes, -1).T.astype(np.int64) for _, n in got]))
-        shard = _part((keys >> np.uint64(8)) & np.uint64(0xFFFF), parts)
-        return pd.DataFrame({"part": pdf["part"].iloc[0], "shard": shard, "window": keys.view(np.int64), **{c: n[:, k] for k, c in enumerate(columns)}})
+        spans, spelled, counts = zip(*(_unpack(raw) for raw in pdf["body"]))
+        ends = np.concatenate([[0], np.cumsum(np.concatenate(spans), dtype=np.int64)])
+        every = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(np.concatenate(spelled))])
+        at = pc.dictionary_encode(every).indices.to_numpy()
+        n = np.bincount(at, np.concatenate(counts)).astype(np.int64)
+        cuts = np.cumsum([len(x) for x in spans])[:-1]
+        chunk, part = pdf["chunk"].tolist(), pdf["part"].iloc[0]
+        bodies = [_pack(x) for x in np.split(n[at], cuts)] + [_pack(np.array([n.sum(), (n > 0).sum()]))]
+        return pd.DataFrame({"chunk": [*chunk, -1], "kind": 1, "part": part, "body": bodies})
 
-    return windows.groupBy("part").applyInPandas(total, "part int, shard int, window long, " + ", ".join(f"{c} long" for c in columns))
+    return words.groupBy("part").applyInPandas(total, "chunk long, kind int, part int, body binary")
 
 
-def _score_parts(sums: DataFrame, n_classes: int) -> DataFrame:
-    """(part, body): the windows of each part, and their log10 probabilities by class."""
-    columns = [f"n{k}" for k in range(n_classes)]
-    pair = F.col("window").bitwiseAND(F.lit(0xFFFF)).alias("pair")
-    low = sums.groupBy(pair).agg(*[F.sum(c).alias(c) for c in columns]).toPandas()  # at most 65,536 rows
-    keys = low["pair"].to_numpy(np.int64).astype(np.uint64) | np.uint64(1 << 48)
-    short = np.stack([low[c].to_numpy(np.int64) for c in columns], 1)
-    lowest = all_orders(keys, short) if len(keys) else (keys, short)
+def _sum_parts(windows: DataFrame) -> DataFrame:
+    """(part, key, n) of the distinct keys (class and window) of (part, body)."""
 
-    def rate(pdf):
+    def total(pdf):
         import pandas as pd
 
-        window, n = pdf["window"].to_numpy(np.int64).view(np.uint64), pdf[columns].to_numpy(np.int64)
-        nodes, count = all_orders(window, n, 2)
-        nodes, count = np.concatenate([nodes, lowest[0]]), np.concatenate([count, lowest[1]])
-        tries = [Trie.build(nodes[count[:, k] > 0], count[count[:, k] > 0, k]) for k in range(n_classes)]
-        s = np.stack([t.window_scores(window) for t in tries]).astype(np.float32)
-        of = pdf["part"].to_numpy()
-        places = [(p, np.flatnonzero(of == p)) for p in np.unique(of)]
-        return pd.DataFrame({"part": [p for p, _ in places], "body": [_pack(window[at], s[:, at].ravel()) for _, at in places]})
-
-    return sums.groupBy("shard").applyInPandas(rate, "part int, body binary")
+        got = [_unpack(raw) for raw in pdf["body"]]
+        keys, n = _merge(np.concatenate([k for k, _ in got]), np.concatenate([n for _, n in got]))
+        return pd.DataFrame({"part": pdf["part"].iloc[0], "key": keys.view(np.int64), "n": n})
+
+    return windows.groupBy("part").applyInPandas(total, "part int, key long, n long")
+
+
+def _score_parts(sums: DataFrame, lowest: dict[int, tuple[np.ndarray, np.ndarray]], shards: int) -> DataFrame:
+    """(part, body): the keys of each part, and the log10 probabilities of
+    their bytes.  ``lowest`` has the nodes of orders 0 and 1 by class."""
+    # a class and two bytes of context; very frequent ones are dealt by one byte more
+    context = F.shiftrightunsigned("key", 52) * F.lit(1 << 16) + F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF))
+    frequent = sums.groupBy(context.alias("context")).count().where(F.col("count") > HOT_WINDOWS)
+    hot = {r["context"] for r in frequent.collect()}  # at most one for every HOT_WINDOWS rows
+    here = sums.withColumn("context", context)
+    order = F.shiftright("key", 48).bitwiseAND(F.lit(7))
+    second: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    if hot:
+        is_hot = F.col("context").isin(sorted(hot)) & (order > 1)
+        rows = here.where(is_hot).groupBy("context", F.col("key").bitwiseAND(F.lit(0xFFFFFF)).alias("node")).agg(F.sum("n").alias("n")).where("n > 0").toPandas()  # 256 a context
+        for k, pdf in rows.groupby(rows["context"].to_numpy() >> 16):
+            second[int(k)] = pdf["node"].to_numpy(np.int64).view(np.uint64) | np.uint64(2 << 48), pdf["n"].to_numpy(np.int64)
+        third = F.when(is_hot & (order > 2), F.shiftright("key", 24).bitwiseAND(F.lit(0xFF))).otherwise(F.lit(-1))
+    else:
+        third = F.lit(-1)
+    dealt = here.select("part", "key", "n", F.pmod(F.xxhash64("context", third), F.lit(shards)).alias("shard"))
+    hot_contexts = np.array(sorted(hot), np.int64)
 
+    def rate(pdf):
+        import pandas as pd
 
-def _send_back(windows: DataFrame, scored: DataFrame, n_classes: int) -> DataFrame:
-    """(chunk, kind 2, body): the scores of the windows of each chunk and part."""
+        key, n = pdf["key"].to_numpy(np.int64).view(np.uint64), pdf["n"].to_numpy(np.int64)
+        kind, window, out = (key >> _CLASS).astype(np.int64), key & _WINDOW, np.zeros(len(key))
+        for k in np.unique(kind):
+            mine = kind == k
+            learned = mine & (n > 0)
+            nodes, count = all_orders(window[learned], n[learned], 2)
+            if len(hot_contexts):
+                # nodes of order 2 after a frequent context are whole in no task
+                node_context = (k << 16) + ((nodes >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.int64)
+                keep = ((nodes >> np.uint64(48)) > 2) | ~np.isin(node_context, hot_contexts)
+                more = second.get(int(k), (nodes[:0], count[:0]))
+                nodes, count = np.concatenate([nodes[keep], more[0]]), np.concatenate([count[keep], more[1]])
+            low = lowest.get(int(k), (nodes[:0], count[:0]))
+            trie = Trie.build(np.concatenate([nodes, low[0]]), np.concatenate([count, low[1]]))
+            out[mine] = trie.window_scores(window[mine])
+        by = np.argsort(pdf["part"].to_numpy(), kind="stable")
+        part = pdf["part"].to_numpy()[by]
+        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        return pd.DataFrame({"part": part[first], "body": [_pack(key[at], out[at]) for at in np.split(by, first[1:])]})
+
+    return dealt.groupBy("shard").applyInPandas(rate, "part int, body binary")
+
+
+def _send_back(windows: DataFrame, scored: DataFrame) -> DataFrame:
+    """(chunk, kind 2, part, body): the scores of the keys of each chunk and part."""
 
     def send(pdf):
         import pandas as pd
@@ -359,16 +452,16 @@ def _send_back(windows: DataFrame, scored: DataFrame, n_classes: int) -> DataFra
         got = [_unpack(raw) for raw in pdf.loc[pdf["chunk"] < 0, "body"]]
         keys = np.concatenate([k for k, _ in got])
         by = np.argsort(keys)
-        keys, s = keys[by], np.concatenate([s.reshape(n_classes, -1) for _, s in got], axis=1)[:, by]
+        keys, s = keys[by], np.concatenate([s for _, s in got])[by]
         mine = pdf[pdf["chunk"] >= 0]
         bodies = []
         for raw in mine["body"]:
             window, _ = _unpack(raw)
-            bodies.append(_pack(window, s[:, np.searchsorted(keys, window)].ravel()))
-        return pd.DataFrame({"chunk": mine["chunk"].to_numpy(), "kind": 2, "body": bodies})
+            bodies.append(_pack(window, s[np.searchsorted(keys, window)]))
+        return pd.DataFrame({"chunk": mine["chunk"].to_numpy(), "kind": 2, "part": mine["part"].to_numpy(), "body": bodies})
 
     both = windows.unionByName(scored.select("part", F.lit(-1).cast("long").alias("chunk"), "body"))
-    return both.groupBy("part").applyInPandas(send, "chunk long, kind int, body binary")
+    return both.groupBy("part").applyInPandas(send, "chunk long, kind int, part int, body binary")
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str | None = "lang", folds: int = 10, held: int = 0) -> DataFrame:
@@ -378,10 +471,11 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str |
     Tokens are words, lower-cased in A to Z, and the end of the text.  The
     model learns from rows whose crc32 of the key as text (null: empty) is not
     ``held`` modulo ``folds``; a null text is empty.  ``score`` is the log10
-    probability of the tokens, ``base_score`` that under smoothed token counts.
-    ``lang``, if given, names the classes of training documents only; scoring
-    does not read it.  Rows are scored one by one, repeated ones too; an empty
-    table gives an empty result.
+    probability of the text's byte stream, ``base_score`` that of its tokens
+    under smoothed counts.  ``lang``, if given, names the classes of training
+    documents only; scoring does not read it.  Rows are scored one by one,
+    repeated ones too; an empty table gives an empty result; other columns are
+    not read.
     """
     spark = docs.sparkSession
     out = crc_mod(F.col(key), folds) == held
@@ -389,51 +483,29 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str |
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), name.alias("lang"), out.alias("held"))
     # the most frequent languages of training rows; few rows come back
     top = rows.where("NOT held AND lang IS NOT NULL").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_CLASSES).collect()
-    classes = {r["lang"]: k for k, r in enumerate(top)}
-    n_classes = len(classes) + 1
+    n_classes = len(top) + 1
     size = rows.agg(F.count(F.when(~F.col("held"), 1)).alias("train"), F.sum(F.octet_length("text")).alias("b")).first()
     docs_of = np.array([float(r["count"]) for r in top] + [0.0])
     docs_of[-1] = size["train"] - docs_of.sum()
     prior = np.log10((docs_of + 0.5) / (docs_of.sum() + 0.5 * n_classes))
+    kind = F.lit(n_classes - 1)
+    for k, r in enumerate(top):
+        kind = F.when(F.col("lang") == r["lang"], k).otherwise(kind)
+    rows = rows.select("doc_id", "text", kind.cast("int").alias("class"), "held")
+    pairs = _pairs(rows.where("NOT held").select("class", "text"), n_classes).toPandas()  # at most 65,536 rows a class
+    lowest, table = {}, np.full((n_classes, 1 << 16), -np.log10(_ALPHABET))
+    for k, pdf in pairs.groupby("class"):
+        lowest[int(k)] = nodes = all_orders(pdf["pair"].to_numpy(np.int64).view(np.uint64) | np.uint64(1 << 48), pdf["n"].to_numpy(np.int64))
+        table[k] = Trie.build(*nodes).window_scores(np.arange(1 << 16, dtype=np.uint64) | np.uint64(1 << 48))
     n_parts = max(1, -(-int(size["b"] or 0) // PART_BYTES))
-    cut = stash(_chunks(rows, classes, n_classes, n_parts), "chunks")
-    words = cut.where("slot >= 0").select("chunk", "slot", "word", "c")
-    vocabulary = stash(words.groupBy("word").agg(F.sum("c").alias("c")), "vocabulary")
-    sums = vocabulary.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
-    n_train, n_distinct = int(sums["n"] or 0), int(sums["v"] or 0)
-    windows = cut.where("slot < -1").select((F.lit(-2) - F.col("slot")).cast("int").alias("part"), "chunk", "body")
-    summed = stash(_sum_parts(windows.select("part", "body"), n_classes, n_parts), "windows")
-    scored = _send_back(windows, _score_parts(summed, n_classes), n_classes)
-    figures = words.select("chunk", "slot", "word").join(vocabulary, "word").select("chunk", "slot", "c")
-
-    def pack(batches: Iterable) -> Iterator:
-        """One row per chunk and some hundred thousand words, to shuffle less."""
-        import pyarrow as pa
-
-        def send(held_rows):
-            t = pa.Table.from_batches(held_rows)
-            chunk, slot, c = (t.column(i).to_numpy() for i in range(3))
-            order = np.argsort(chunk, kind="stable")
-            cuts = np.flatnonzero(np.diff(chunk[order])) + 1
-            for at in np.split(order, cuts):
-                yield chunk[at[0]], _pack(slot[at], c[at])
-
-        def rows_of(held_rows):
-            got = list(send(held_rows))
-            return pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([1] * len(got), pa.int32()), pa.array([g[1] for g in got], pa.binary())], ["chunk", "kind", "body"])
-
-        waiting, n = [], 0
-        for batch in batches:
-            waiting.append(batch)
-            n += batch.num_rows
-            if n >= 500_000:
-                yield rows_of(waiting)
-                waiting, n = [], 0
-        if n:
-            yield rows_of(waiting)
-
-    schema = "chunk long, kind int, body binary"
-    rest = figures.mapInArrow(pack, schema).unionByName(scored).unionByName(cut.where("slot = -1").select("chunk", F.lit(0).alias("kind"), "body"))
+    cut = stash(_chunks(rows, spark.sparkContext.broadcast(table), prior, n_parts), "chunks")
+    counted = stash(_count_words(cut.where("kind = 1").select("part", "chunk", "body")), "vocabulary")
+    totals = [_unpack(bytes(r["body"]))[0] for r in counted.where("chunk < 0").select("body").toLocalIterator()]  # two numbers a part
+    n_train, n_distinct = (int(x) for x in np.sum(totals, axis=0)) if totals else (0, 0)
+    windows = cut.where("kind = 2").select("part", "chunk", "body")
+    summed = stash(_sum_parts(windows.select("part", "body")), "windows")
+    scored = _send_back(windows, _score_parts(summed, lowest, n_parts))
+    rest = cut.where("kind = 0").unionByName(counted.where("chunk >= 0")).unionByName(scored)
     scale = float(np.log10(n_train + 0.1 * (n_distinct + 1)))
 
     def finish(pdf):
@@ -441,37 +513,32 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str |
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        keys, nulls, held_, lengths, idx, spans, spelled = _unpack(pdf.loc[pdf["kind"] == 0, "body"].iloc[0])
-        count = np.zeros(len(spans), np.int64)
-        for raw in pdf.loc[pdf["kind"] == 1, "body"]:
-            slot, c = _unpack(raw)
-            count[slot] = c
+        keys, nulls, held_, chosen, lengths, idx, spans, spelled = _unpack(pdf.loc[pdf["kind"] == 0, "body"].iloc[0])
+        at = np.cumsum(spans) - spans
+        spelled = spelled.tobytes()
+        text = [spelled[i : i + n] for i, n in zip(at.tolist(), spans.tolist())]
+        words = pdf[pdf["kind"] == 1].sort_values("part")
+        count = np.empty(len(text), np.int64)
+        count[_word_parts(text, n_parts)[0]] = np.concatenate([_unpack(raw)[0] for raw in words["body"]])
         starts = np.cumsum(lengths) - lengths
         base = np.add.reduceat(np.log10(count + 0.1)[idx], starts) - lengths * scale
         known = np.add.reduceat((count > 0).astype(np.int64)[idx], starts)
         got = [_unpack(raw) for raw in pdf.loc[pdf["kind"] == 2, "body"]]
         window = np.concatenate([w for w, _ in got])
         by = np.argsort(window)
-        window, s = window[by], np.concatenate([x.reshape(n_classes, -1) for _, x in got], axis=1)[:, by]
-        at = np.cumsum(spans) - spans
-        spelled = spelled.tobytes()
-        text = [spelled[i : i + n] for i, n in zip(at.tolist(), spans.tolist())]
-        coded = np.zeros((len(keys), n_classes))
+        window, s = window[by], np.concatenate([x for _, x in got])[by]
+        got.clear()
+        coded = np.zeros(len(keys))
         for lo, hi in _slices(np.add.reduceat(spans[idx] + 1, starts).tolist()):
-            streams, doc = [], []
-            for i in range(lo, hi):
-                streams += _streams([text[j] for j in idx[starts[i] : starts[i] + lengths[i]].tolist()])
-                doc += [i - lo] * (len(streams) - len(doc))
-            mine, stream = _windows(streams)
-            seen = pc.dictionary_encode(pa.array(mine))
+            streams = [b" ".join([b"", *[text[j] for j in idx[starts[i] : starts[i] + lengths[i]].tolist()]]) for i in range(lo, hi)]
+            mine, doc = _windows(streams)
+            seen = pc.dictionary_encode(pa.array(mine | (chosen[lo:hi].astype(np.uint64)[doc] << _CLASS)))
             found = np.searchsorted(window, seen.dictionary.to_numpy())[seen.indices.to_numpy()]
-            of = np.array(doc)[stream]
-            for k in range(n_classes):
-                coded[lo:hi, k] = np.bincount(of, s[k][found], hi - lo)
-        best = (coded + prior).max(axis=1)
+            coded[lo:hi] = np.bincount(doc, s[found], hi - lo)
         ids = pd.array(keys, dtype="Int64")
         ids[nulls.astype(bool)] = pd.NA
-        return pd.DataFrame({"doc_id": ids, "held_out": held_.astype(bool), "n_tokens": lengths.astype(np.int64), "n_known": known, "train_tokens": n_train, "base_score": base, "score": best})
+        return pd.DataFrame({"doc_id": ids, "held_out": held_.astype(bool), "n_tokens": lengths.astype(np.int64), "n_known": known,
+                             "train_tokens": n_train, "base_score": base, "score": coded + prior[chosen]})
 
     return rest.groupBy("chunk").applyInPandas(
         finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

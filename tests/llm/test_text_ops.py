@@ -348,10 +348,11 @@ def test_scores(spark, docs, empty):
 
 
 def best_of_classes(rows, streams):
-    """PPM code length of every document by escaping step by step, its best class taken."""
+    """PPM code length of every document by escaping step by step, under the
+    class that codes it best by orders 0 and 1."""
     held = lambda d: zlib.crc32(str(d).encode()) % 10 == 0
     langs = sorted({r[2] for r in rows}, key=lambda g: (-sum(r[2] == g and not held(r[0]) for r in rows), g))
-    n, out = sum(not held(r[0]) for r in rows), {r[0]: [] for r in rows}
+    n, short, full = sum(not held(r[0]) for r in rows), {r[0]: [] for r in rows}, {r[0]: [] for r in rows}
     for g in [*langs, None]:
         docs = [r for r in rows if r[2] == g and not held(r[0])]
         counts: dict = {}
@@ -360,10 +361,11 @@ def best_of_classes(rows, streams):
                 counts[s] = counts.get(s, 0) + 1
         prior = math.log10((len(docs) + 0.5) / (n + 0.5 * (len(langs) + 1)))
         wanted = [streams(r[1]) for r in rows]
-        scores = iter(brute_streams(counts, [s for w in wanted for s in w], ppm.DEPTH))
-        for r, w in zip(rows, wanted):
-            out[r[0]].append(prior + sum(next(scores) for _ in w))
-    return {d: max(s) for d, s in out.items()}
+        for depth, out in ((1, short), (ppm.DEPTH, full)):
+            scores = iter(brute_streams(counts, [s for w in wanted for s in w], depth))
+            for r, w in zip(rows, wanted):
+                out[r[0]].append(prior + sum(next(scores) for _ in w))
+    return {d: max(zip(short[d], s))[1] for d, s in full.items()}
 
 
 def brute_streams(counts, streams, depth):
@@ -404,9 +406,11 @@ def test_ppm_keeps_every_count(spark, monkeypatch):
     monkeypatch.setattr(ppm, "MAX_NODES", 50, raising=False)
     monkeypatch.setattr(ppm, "PART_BYTES", 500, raising=False)
     rows = ppm_rows()
-    want = best_of_classes(rows, lambda t: ppm._streams([*t.encode().lower().split(), ppm.END]))
-    got = ppm.score(spark.createDataFrame(rows, DOCS).repartition(3)).collect()
-    assert len(got) == len(rows) and all(math.isclose(g["score"], want[g["doc_id"]], rel_tol=1e-5) for g in got)
+    want = best_of_classes(rows, lambda t: [ppm._stream(t.encode())])
+    for hot in (ppm.HOT_WINDOWS, 3):  # with and without contexts that are dealt by a third byte
+        monkeypatch.setattr(ppm, "HOT_WINDOWS", hot)
+        got = ppm.score(spark.createDataFrame(rows, DOCS).repartition(3)).collect()
+        assert len(got) == len(rows) and all(math.isclose(g["score"], want[g["doc_id"]], rel_tol=1e-9) for g in got)
 
 
 def test_ppm_reads_across_words(spark, monkeypatch):
@@ -418,5 +422,5 @@ def test_ppm_reads_across_words(spark, monkeypatch):
     rows.append((901, "the cat sat on a mat I ran", "en", "s", 0, 0, ""))
     want = best_of_classes(rows, lambda t: [b" " + b"".join(w + b" " for w in t.encode().lower().split()) + ppm.END])
     got = {g["doc_id"]: g["score"] for g in ppm.score(spark.createDataFrame(rows, DOCS).repartition(2)).collect()}
-    assert len(got) == len(rows) and all(math.isclose(got[d], want[d], rel_tol=1e-5) for d in want)
+    assert len(got) == len(rows) and all(math.isclose(got[d], want[d], rel_tol=1e-9) for d in want)
     assert abs(got[900] - got[901]) > 1e-3

@@ -48,11 +48,11 @@ MAX_CLASSES = 15
 #: Distinct windows of a class that one task scores; more are dealt by another byte of context.
 HOT_WINDOWS = 2_000_000
 #: Text of a chunk, in bytes.
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 8 << 20
 #: Text whose windows are made at a time, in bytes.
 SLICE_BYTES = 1 << 20
 #: Windows of slices that wait to be summed.
-WAITING = 1_000_000
+WAITING = 400_000
 #: Where the class stands in a key, above the window.
 _CLASS = np.uint64(52)
 _WINDOW = np.uint64((1 << 52) - 1)

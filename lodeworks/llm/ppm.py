@@ -53,6 +53,8 @@ CHUNK_BYTES = 8 << 20
 SLICE_BYTES = 1 << 20
 #: Windows of slices that wait to be summed.
 WAITING = 400_000
+#: Scores of windows travel as whole numbers of this part of a decimal digit.
+_UNIT = 2.0**-32
 #: Where the class stands in a key, above the window.
 _CLASS = np.uint64(52)
 _WINDOW = np.uint64((1 << 52) - 1)
@@ -360,40 +362,49 @@ def _chunks(docs: DataFrame, table, prior: np.ndarray, parts: int) -> DataFrame:
     return docs.mapInArrow(cut, "chunk long, kind int, part int, body binary")
 
 
-def _count_words(words: DataFrame) -> DataFrame:
+def _by_part(rows: DataFrame, parts: int):
+    """Rows grouped by part, in as many tasks as there are parts."""
+    return rows.repartition(parts, "part").groupBy("part")
+
+
+def _bodies(chunk, kind: int, part, body: list[bytes]):
+    import pyarrow as pa
+
+    return pa.table({"chunk": pa.array(chunk, pa.int64()), "kind": pa.array(np.full(len(body), kind), pa.int32()), "part": pa.array(part, pa.int32()), "body": pa.array(body, pa.binary())})
+
+
+def _count_words(words: DataFrame, parts: int) -> DataFrame:
     """From (part, chunk, body) of kind 1: rows (chunk, kind 1, part, body) with
     the words' counts over all chunks, and one row of each part with chunk -1
     and (tokens, distinct words) of it."""
 
-    def total(pdf):
-        import pandas as pd
+    def total(group):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        spans, spelled, counts = zip(*(_unpack(raw) for raw in pdf["body"]))
+        spans, spelled, counts = zip(*(_unpack(raw) for raw in group["body"].to_pylist()))
         ends = np.concatenate([[0], np.cumsum(np.concatenate(spans), dtype=np.int64)])
         every = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(np.concatenate(spelled))])
         at = pc.dictionary_encode(every).indices.to_numpy()
         n = np.bincount(at, np.concatenate(counts)).astype(np.int64)
         cuts = np.cumsum([len(x) for x in spans])[:-1]
-        chunk, part = pdf["chunk"].tolist(), pdf["part"].iloc[0]
         bodies = [_pack(x) for x in np.split(n[at], cuts)] + [_pack(np.array([n.sum(), (n > 0).sum()]))]
-        return pd.DataFrame({"chunk": [*chunk, -1], "kind": 1, "part": part, "body": bodies})
+        return _bodies([*group["chunk"].to_pylist(), -1], 1, np.full(len(bodies), group["part"][0].as_py()), bodies)
 
-    return words.groupBy("part").applyInPandas(total, "chunk long, kind int, part int, body binary")
+    return _by_part(words, parts).applyInArrow(total, "chunk long, kind int, part int, body binary")
 
 
-def _sum_parts(windows: DataFrame) -> DataFrame:
+def _sum_parts(windows: DataFrame, parts: int) -> DataFrame:
     """(part, key, n) of the distinct keys (class and window) of (part, body)."""
 
-    def total(pdf):
-        import pandas as pd
+    def total(group):
+        import pyarrow as pa
 
-        got = [_unpack(raw) for raw in pdf["body"]]
+        got = [_unpack(raw) for raw in group["body"].to_pylist()]
         keys, n = _merge(np.concatenate([k for k, _ in got]), np.concatenate([n for _, n in got]))
-        return pd.DataFrame({"part": pdf["part"].iloc[0], "key": keys.view(np.int64), "n": n})
+        return pa.table({"part": pa.array(np.full(len(keys), group["part"][0].as_py()), pa.int32()), "key": keys.view(np.int64), "n": n})
 
-    return windows.groupBy("part").applyInPandas(total, "part int, key long, n long")
+    return _by_part(windows, parts).applyInArrow(total, "part int, key long, n long")
 
 
 def _score_parts(sums: DataFrame, lowest: dict[int, tuple[np.ndarray, np.ndarray]], shards: int) -> DataFrame:
@@ -417,10 +428,10 @@ def _score_parts(sums: DataFrame, lowest: dict[int, tuple[np.ndarray, np.ndarray
     dealt = here.select("part", "key", "n", F.pmod(F.xxhash64("context", third), F.lit(shards)).alias("shard"))
     hot_contexts = np.array(sorted(hot), np.int64)
 
-    def rate(pdf):
-        import pandas as pd
+    def rate(group):
+        import pyarrow as pa
 
-        key, n = pdf["key"].to_numpy(np.int64).view(np.uint64), pdf["n"].to_numpy(np.int64)
+        key, n = group["key"].to_numpy().view(np.uint64), group["n"].to_numpy()
         kind, window, out = (key >> _CLASS).astype(np.int64), key & _WINDOW, np.zeros(len(key))
         for k in np.unique(kind):
             mine = kind == k
@@ -435,33 +446,32 @@ def _score_parts(sums: DataFrame, lowest: dict[int, tuple[np.ndarray, np.ndarray
             low = lowest.get(int(k), (nodes[:0], count[:0]))
             trie = Trie.build(np.concatenate([nodes, low[0]]), np.concatenate([count, low[1]]))
             out[mine] = trie.window_scores(window[mine])
-        by = np.argsort(pdf["part"].to_numpy(), kind="stable")
-        part = pdf["part"].to_numpy()[by]
+        part = group["part"].to_numpy()
+        by = np.argsort(part, kind="stable")
+        part, units = part[by], np.rint(out / _UNIT).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        return pd.DataFrame({"part": part[first], "body": [_pack(key[at], out[at]) for at in np.split(by, first[1:])]})
+        return pa.table({"part": pa.array(part[first], pa.int32()), "body": pa.array([_pack(key[at], -units[at]) for at in np.split(by, first[1:])], pa.binary())})
 
-    return dealt.groupBy("shard").applyInPandas(rate, "part int, body binary")
+    return dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(rate, "part int, body binary")
 
 
-def _send_back(windows: DataFrame, scored: DataFrame) -> DataFrame:
+def _send_back(windows: DataFrame, scored: DataFrame, parts: int) -> DataFrame:
     """(chunk, kind 2, part, body): the scores of the keys of each chunk and part."""
 
-    def send(pdf):
-        import pandas as pd
-
-        got = [_unpack(raw) for raw in pdf.loc[pdf["chunk"] < 0, "body"]]
+    def send(group):
+        chunk, body = group["chunk"].to_numpy(), group["body"]
+        got = [_unpack(body[i].as_py()) for i in np.flatnonzero(chunk < 0).tolist()]
         keys = np.concatenate([k for k, _ in got])
         by = np.argsort(keys)
-        keys, s = keys[by], np.concatenate([s for _, s in got])[by]
-        mine = pdf[pdf["chunk"] >= 0]
-        bodies = []
-        for raw in mine["body"]:
-            window, _ = _unpack(raw)
-            bodies.append(_pack(window, s[np.searchsorted(keys, window)]))
-        return pd.DataFrame({"chunk": mine["chunk"].to_numpy(), "kind": 2, "part": mine["part"].to_numpy(), "body": bodies})
+        keys, units = keys[by], np.concatenate([x for _, x in got])[by]
+        mine, bodies = np.flatnonzero(chunk >= 0), []
+        for i in mine.tolist():
+            window, _ = _unpack(body[i].as_py())
+            bodies.append(_pack(window, units[np.searchsorted(keys, window)]))
+        return _bodies(chunk[mine], 2, group["part"].to_numpy()[mine], bodies)
 
     both = windows.unionByName(scored.select("part", F.lit(-1).cast("long").alias("chunk"), "body"))
-    return both.groupBy("part").applyInPandas(send, "chunk long, kind int, part int, body binary")
+    return _by_part(both, parts).applyInArrow(send, "chunk long, kind int, part int, body binary")
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str | None = "lang", folds: int = 10, held: int = 0) -> DataFrame:
@@ -499,35 +509,35 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str |
         table[k] = Trie.build(*nodes).window_scores(np.arange(1 << 16, dtype=np.uint64) | np.uint64(1 << 48))
     n_parts = max(1, -(-int(size["b"] or 0) // PART_BYTES))
     cut = stash(_chunks(rows, spark.sparkContext.broadcast(table), prior, n_parts), "chunks")
-    counted = stash(_count_words(cut.where("kind = 1").select("part", "chunk", "body")), "vocabulary")
+    counted = stash(_count_words(cut.where("kind = 1").select("part", "chunk", "body"), n_parts), "vocabulary")
     totals = [_unpack(bytes(r["body"]))[0] for r in counted.where("chunk < 0").select("body").toLocalIterator()]  # two numbers a part
     n_train, n_distinct = (int(x) for x in np.sum(totals, axis=0)) if totals else (0, 0)
     windows = cut.where("kind = 2").select("part", "chunk", "body")
-    summed = stash(_sum_parts(windows.select("part", "body")), "windows")
-    scored = _send_back(windows, _score_parts(summed, lowest, n_parts))
+    summed = stash(_sum_parts(windows.select("part", "body"), n_parts), "windows")
+    scored = _send_back(windows, _score_parts(summed, lowest, n_parts), n_parts)
     rest = cut.where("kind = 0").unionByName(counted.where("chunk >= 0")).unionByName(scored)
     scale = float(np.log10(n_train + 0.1 * (n_distinct + 1)))
 
-    def finish(pdf):
-        import pandas as pd
+    def finish(group):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        keys, nulls, held_, chosen, lengths, idx, spans, spelled = _unpack(pdf.loc[pdf["kind"] == 0, "body"].iloc[0])
+        kind, part, body = group["kind"].to_numpy(), group["part"].to_numpy(), group["body"]
+        keys, nulls, held_, chosen, lengths, idx, spans, spelled = _unpack(body[int(np.flatnonzero(kind == 0)[0])].as_py())
         at = np.cumsum(spans) - spans
         spelled = spelled.tobytes()
         text = [spelled[i : i + n] for i, n in zip(at.tolist(), spans.tolist())]
-        words = pdf[pdf["kind"] == 1].sort_values("part")
+        words = np.flatnonzero(kind == 1)
         count = np.empty(len(text), np.int64)
-        count[_word_parts(text, n_parts)[0]] = np.concatenate([_unpack(raw)[0] for raw in words["body"]])
+        count[_word_parts(text, n_parts)[0]] = np.concatenate([_unpack(body[i].as_py())[0] for i in words[np.argsort(part[words])].tolist()])
         starts = np.cumsum(lengths) - lengths
         base = np.add.reduceat(np.log10(count + 0.1)[idx], starts) - lengths * scale
         known = np.add.reduceat((count > 0).astype(np.int64)[idx], starts)
-        got = [_unpack(raw) for raw in pdf.loc[pdf["kind"] == 2, "body"]]
+        got = [_unpack(body[i].as_py()) for i in np.flatnonzero(kind == 2).tolist()]
         window = np.concatenate([w for w, _ in got])
         by = np.argsort(window)
-        window, s = window[by], np.concatenate([x for _, x in got])[by]
-        got.clear()
+        window, s = window[by], np.concatenate([x for _, x in got])[by] * -_UNIT
+        del got, by
         coded = np.zeros(len(keys))
         for lo, hi in _slices(np.add.reduceat(spans[idx] + 1, starts).tolist()):
             streams = [b" ".join([b"", *[text[j] for j in idx[starts[i] : starts[i] + lengths[i]].tolist()]]) for i in range(lo, hi)]
@@ -535,10 +545,11 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str |
             seen = pc.dictionary_encode(pa.array(mine | (chosen[lo:hi].astype(np.uint64)[doc] << _CLASS)))
             found = np.searchsorted(window, seen.dictionary.to_numpy())[seen.indices.to_numpy()]
             coded[lo:hi] = np.bincount(doc, s[found], hi - lo)
-        ids = pd.array(keys, dtype="Int64")
-        ids[nulls.astype(bool)] = pd.NA
-        return pd.DataFrame({"doc_id": ids, "held_out": held_.astype(bool), "n_tokens": lengths.astype(np.int64), "n_known": known,
-                             "train_tokens": n_train, "base_score": base, "score": coded + prior[chosen]})
+        return pa.table({
+            "doc_id": pa.array(keys, mask=nulls.astype(bool)), "held_out": held_.astype(bool), "n_tokens": lengths.astype(np.int64), "n_known": known,
+            "train_tokens": np.full(len(keys), n_train), "base_score": base, "score": coded + prior[chosen]})
 
-    return rest.groupBy("chunk").applyInPandas(
+    # a bounded number of chunks a task, however many there are
+    tasks = max(1, -(-int(size["b"] or 0) // (2 * CHUNK_BYTES)))
+    return rest.repartition(tasks, "chunk").groupBy("chunk").applyInArrow(
         finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -7,4 +7,6 @@ function's name says ``check`` or ``require`` and where it writes.
 
 from .errors import EngineError
 
-__all__ = ["EngineError"]
+__version__ = "0.2.0"
+
+__all__ = ["EngineError", "__version__"]

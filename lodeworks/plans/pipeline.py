@@ -9,6 +9,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import __version__
 from ..errors import require
 from ..operators import aggregates, answers, features, identity, learn, quality
 from ..schemas import ADMISSIONS, LABS, LINEAGE, PATIENTS
@@ -57,21 +58,33 @@ def run_batch(spark: SparkSession, inputs: dict[str, str], folder: str, key: byt
     gold = keep(features.build_gold(clean["patients"], clean["admissions"], clean["lab_results"], found.master, observation_end, keep=lambda df, name: keep(df, f"gold_work/{name}")), "gold/features")
     manifest["gold"] = features.gold_audit(gold)
     analytics = {k: keep(v, f"analytics/{k}") for k, v in aggregates.build_analytics(gold, least).items()}
-    audit = release.analytics_audit(gold, analytics, least)
+    known = {"gold": manifest["stages"]["gold/features"], **{k: manifest["stages"][f"analytics/{k}"] for k in ("breakdowns", "overall")}}
+    audit = release.analytics_audit(gold, analytics, least, known)
     manifest["answers"] = answers.core_answers(gold, clean["admissions"], analytics, manifest["identity"], F.lit(observation_end))
-    gate = keep(release.run_gate(gold, manifest["gold"], analytics, audit), "release/gate")
+    reports = release.write_report(spark, f"{folder}/release", analytics["breakdowns"])
+    phases = {"ingestion": {k: manifest[f"ingest_{k}"] for k in TABLES}, "silver": manifest["silver"], "identity": manifest["identity"], "gold": manifest["gold"], "analytics": audit}
+    release.write_evidence(spark, folder, __version__, phases)
+    gate = keep(release.run_gate(gold, manifest["gold"], analytics, audit, release.evidence_checks(spark, folder, __version__), reports), "release/gate")
+    pins = {"master": manifest["stages"]["identity/master"], "gold": manifest["stages"]["gold/features"]}
+    learn.check_lineage(gold, found.master, manifest["gold"], manifest["identity"], pins)
     manifest["experiment"] = learn.run_experiment(gold, found.master, cutoff)
     if least >= 11:
-        release.verify_publication(analytics["breakdowns"], analytics["overall"], gate, least)
+        release.verify_publication(analytics["breakdowns"], analytics["overall"], gate, audit, manifest["gold"], reports)
         tables = release.publish(spark, f"{folder}/published", {"breakdowns": analytics["breakdowns"], "overall": analytics["overall"]}, run_id)
         release.register(spark, f"{folder}/registry", tables, run_id, now)
         manifest["published"] = tables
-    verify_run(spark, folder, manifest)
+    verify_run(spark, folder, manifest, inputs)
     sinks.write_json(spark, f"{folder}/manifest.json", manifest)
     return manifest
 
 
-def verify_run(spark: SparkSession, folder: str, manifest: dict) -> None:
-    """Every table of a run still is what its manifest says."""
+def verify_run(spark: SparkSession, folder: str, manifest: dict, inputs: dict[str, str] | None = None) -> None:
+    """Every table of a run still is what its manifest says, no other table
+    stands beside them, and the delivery, if given, has not changed."""
     for name, known in manifest["stages"].items():
         require(release.fingerprint(spark.read.parquet(f"{folder}/{name}")) == known, f"table {name} is not what the manifest says")
+    published = {v["path"].removeprefix(f"{folder}/") for v in manifest.get("published", {}).values()}
+    allowed = {*manifest["stages"], *published, "registry", "release/breakdowns_csv"}
+    require(set(sinks.tables(spark, folder)) <= allowed, "the run's folder holds a table that is not in the manifest")
+    for name, path in (inputs or {}).items():
+        require(delimited.file_digest(spark, path) == manifest[f"ingest_{name}"]["source_sha256"], f"the delivery of {name} changed during the run")

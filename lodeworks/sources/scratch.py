@@ -12,15 +12,19 @@ import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..errors import require
+
 _OWN: dict[str, str] = {}
 _PATHS: dict[int, tuple] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, or a temporary one if unset."""
+    """The folder of ``spark.checkpoint.dir``; in a local session, where driver
+    and executors are one machine, a temporary one if that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
+    require(spark.sparkContext.master.startswith("local"), "on a cluster spark.checkpoint.dir must name a shared folder")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = "file://" + tempfile.mkdtemp(prefix="lodeworks-")

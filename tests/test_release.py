@@ -5,10 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from lodeworks import EngineError
+from lodeworks import EngineError, __version__
 from lodeworks.operators import aggregates, learn, quality
 from lodeworks.plans import pipeline, release
-from lodeworks.sources import generator
+from lodeworks.sources import generator, sinks
 
 KEY = b"an identity key of 32 bytes or so"
 
@@ -111,8 +111,102 @@ def test_whole_batch(spark, tmp_path):
         release.read_snapshot(spark, {**entry, "hash": "0"})
     gold = spark.read.parquet(f"{out}/gold/features")
     analytics = {k: spark.read.parquet(f"{out}/analytics/{k}") for k in ("overall", "breakdowns", "excluded")}
-    audit = release.analytics_audit(gold, analytics)
-    with pytest.raises(EngineError, match="gold_row_uniqueness"):
-        release.run_gate(gold, {**manifest["gold"], "gold_rows": 1}, analytics, audit)
-    with pytest.raises(EngineError, match="gold_hash_lineage"):
-        release.run_gate(gold.limit(3), manifest["gold"], analytics, audit)
+    check_gate(spark, out, gold, manifest, analytics)
+    check_run(spark, out, inputs, manifest, gold)
+    check_bundles(spark, str(tmp_path), bundle)
+
+
+def check_gate(spark, out, gold, manifest, analytics):
+    """Each of the thirteen checks fails alone, and publication needs them all."""
+    audit, facts = release.analytics_audit(gold, analytics), manifest["gold"]
+    reports = {"csv": f"{out}/release/breakdowns_csv", "json": f"{out}/release/breakdowns.json"}
+    evidence = release.evidence_checks(spark, out, __version__)
+    gate = release.run_gate(gold, facts, analytics, audit, evidence, reports)
+    assert [(r["check"], r["status"]) for r in gate.collect()] == [(c, "PASS") for c in release.CHECKS]
+    report, total = analytics["breakdowns"], analytics["overall"]
+    release.verify_publication(report, total, gate, audit, facts, reports)
+    other = {**analytics, "breakdowns": report.where("dimension != 'sex'")}
+    shown = {**analytics, "breakdowns": report.withColumn("suppression_reason", F.when(F.col("dimension") == "hospital", "primary_small_cell").otherwise(F.col("suppression_reason")))}
+    leaky = {**analytics, "breakdowns": report.withColumn("category", F.when(F.col("dimension") == "sex", gold.first()["admission_id"]).otherwise(F.col("category")))}
+    off = {**analytics, "overall": total.withColumn("readmitted_admissions", F.lit(1).cast("long"))}
+    prints = lambda a: release.analytics_audit(gold, a)
+    files = lambda a: release.write_report(spark, f"{out}-{len(a['breakdowns'].head(1))}-{id(a)}", a["breakdowns"])
+    cases = {name: (gold, facts, analytics, audit, {**evidence, name: lambda: False}, reports) for name in release.CHECKS[:4]} | {
+        "gold_hash_lineage": (gold.limit(3), facts, analytics, audit, evidence, reports),
+        "analytics_output_hashes": (gold, facts, other, audit, evidence, reports),
+        "gold_row_uniqueness": (gold, {**facts, "gold_rows": 1}, analytics, audit, evidence, reports),
+        "gold_label_audit_reconciliation": (gold, {**facts, "label_counts": {}}, analytics, audit, evidence, reports),
+        "gold_analytics_reconciliation": (gold, facts, off, prints(off), evidence, reports),
+        "breakdown_csv_json_reconciliation": (gold, facts, other, prints(other), evidence, reports),
+        "suppression_integrity": (gold, facts, shown, prints(shown), evidence, files(shown)),
+        "identifier_exclusion": (gold, facts, leaky, prints(leaky), evidence, files(leaky)),
+        "rule_version_chain": (gold, {**facts, "rule_version": "other"}, analytics, audit, evidence, reports)}
+    assert set(cases) == set(release.CHECKS)
+    for name, case in cases.items():
+        with pytest.raises(EngineError, match=name):
+            release.run_gate(*case)
+    with pytest.raises(EngineError, match="evidence"):  # no check passes unasked
+        release.run_gate(gold, facts, analytics, audit, {}, reports)
+    with pytest.raises(EngineError, match="gate"):
+        release.verify_publication(report, total, gate.where("check != 'package_version'"), audit, facts, reports)
+    with pytest.raises(EngineError, match="audited"):
+        release.verify_publication(other["breakdowns"], total, gate, audit, facts, reports)
+    with pytest.raises(EngineError, match="11"):
+        release.verify_publication(report, total, gate, {**audit, "minimum_cell_size": 10}, facts, reports)
+
+
+def check_run(spark, out, inputs, manifest, gold):
+    """A moved null, a table too many and a changed delivery are all found."""
+    pipeline.verify_run(spark, out, manifest, inputs)
+    a, b = (spark.createDataFrame(rows, "a int, b int") for rows in ([(None, 1), (2, 2)], [(1, None), (2, 2)]))
+    assert release.fingerprint(a) != release.fingerprint(b) and release.fingerprint(a) == release.fingerprint(a.repartition(3))
+    assert release.fingerprint(a) != release.fingerprint(a.unionByName(a)) != release.fingerprint(a.withColumn("b", F.col("b").cast("long")))
+    path = inputs["patients"]
+    text = open(path).read()
+    with open(path, "w") as f:
+        f.write(text.replace("Lagos", "Kano", 1))
+    with pytest.raises(EngineError, match="delivery of patients"):
+        pipeline.verify_run(spark, out, manifest, inputs)
+    with open(path, "w") as f:
+        f.write(text)
+    gold.limit(1).write.parquet(f"{out}/gold/extra")
+    with pytest.raises(EngineError, match="not in the manifest"):
+        pipeline.verify_run(spark, out, manifest, inputs)
+
+
+def check_bundles(spark, folder, bundle):
+    sinks.write_json(spark, f"{folder}/bundle.json", bundle)
+    assert release.read_bundle(spark, f"{folder}/bundle.json") == bundle
+    cell = bundle["breakdowns"][0]
+    wrong = [{"freshness": "FRESH"}, {"published_at_utc": "2030-01-01T00:00:00+00:00"}, {"breakdowns": [cell, cell]}, {"breakdowns": [{**cell, "extra": 1}]},
+             {"breakdowns": [{**cell, "readmission_rate_pct": 50.5}]}, {"breakdowns": [{**cell, "wilson_95_upper_pct": 99.9}]}, {"lineage": {"x": {"rows": 1, "hash": "0"}}}, {"more": 1}]
+    for change in wrong:
+        with pytest.raises(EngineError):
+            release.check_bundle({**bundle, **change})
+    status = {"run": {"id": "x", "secret": "y", "n": 3}, "list": [1], "ok": True}
+    assert release.evidence_export(status, {"run": {"id": True, "n": True}, "list": True, "ok": True, "absent": True}) == {"run": {"id": "x", "n": 3}, "ok": True}
+
+
+@pytest.mark.parametrize("shape,good,bad", [
+    ("digest", "0" * 64, "0" * 63), ("uuid", "123e4567-e89b-12d3-a456-426614174000", "123e4567"), ("commit", "a" * 40, "A" * 40), ("identifier", "a_1", "1a"), ("host", "a.example-b.org", "-a.org")])
+def test_shapes(shape, good, bad):
+    assert release.valid(shape, good) and not release.valid(shape, bad) and not release.valid(shape, good + "\n") and not release.valid(shape, None)
+
+
+def test_errors_and_views(spark):
+    rows = spark.createDataFrame([("sex", "M", ""), ("sex", "F", "primary_small_cell")], "dimension string, category string, suppression_reason string")
+    release.released_view(rows, "some_view")
+    assert [r["category"] for r in spark.table("some_view").collect()] == ["M"]
+    try:
+        spark.sql("SELECT * FROM no_such_table_here").collect()
+    except Exception as error:
+        told = release.error_class(error)
+    assert told["condition"] == "TABLE_OR_VIEW_NOT_FOUND" and "no_such" not in str(told)
+
+
+def test_features_are_finite(spark):
+    row = {**{c: 1.0 for c in learn.NUMERIC}, **{c: "x" for c in learn.CATEGORICAL}}
+    learn.check_features(spark.createDataFrame([row]))
+    for bad in (float("nan"), float("inf"), -1.0):
+        with pytest.raises(EngineError):
+            learn.check_features(spark.createDataFrame([{**row, "age_at_admit": bad}]))

@@ -236,3 +236,4 @@ SELECT round(u / (P1 * N1), 6) AS roc_auc, round(ap / P1, 6) AS average_precisio
     "freshness_status": "SELECT CASE WHEN epoch(TIMESTAMP '2024-01-20') - floor(epoch(ts)) < 0 THEN 'INVALID' WHEN epoch(TIMESTAMP '2024-01-20') - floor(epoch(ts)) > 86400 THEN 'STALE' ELSE 'FRESH' END AS freshness, count(*) AS rows FROM events GROUP BY 1",
 }
 ORACLES["dedup_pk_conflict"] = f"SELECT reason, count(*) AS rows FROM ({ORACLES['dedup_pk_conflict']}) GROUP BY 1"
+ORACLES["logistic_optimum"] = "SELECT * FROM (VALUES (0, true), (1, true), (2, true), (3, true), (4, true)) t(weight, at_optimum)"

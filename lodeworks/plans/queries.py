@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions import stats, text, times
 from ..operators import aggregates, answers, features, identity, learn, quality
-from ..sources import generator
 from ..sources.scratch import stash
 from . import release
 
@@ -387,22 +386,23 @@ def freshness_status(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy(times.freshness(F.col("ts"), now).alias("freshness")).agg(F.count("*").alias("rows"))
 
 
-@query
-def logistic_fit(spark, sf_dir):
-    """Rows only: probabilities of a fit over labelled documents."""
+def _labelled(spark, sf_dir) -> tuple[DataFrame, list]:
     rows = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang"), "doc_id")
     mean, dev = rows.agg(F.avg("n_chars"), F.stddev_pop("n_chars")).first()
-    features_ = [(F.col("n_chars") - mean) / dev, *[(F.col("lang") == x).cast("double") for x in ("en", "de", "fr")]]
-    return learn.fit_logistic(rows, features_, "quality")(rows).select("doc_id", "probability")
+    return rows, [(F.col("n_chars") - mean) / dev, *[(F.col("lang") == x).cast("double") for x in ("en", "de", "fr")]]
 
 
 @query
-def delivery_features(spark, sf_dir):
-    """Rows only: a synthetic delivery through every stage up to the feature table."""
-    from ..schemas import LINEAGE
+def logistic_fit(spark, sf_dir):
+    """Rows only: probabilities of a fit over labelled documents (logistic_optimum checks it)."""
+    rows, columns = _labelled(spark, sf_dir)
+    return learn.fit_logistic(rows, columns, "quality")(rows).select("doc_id", "probability")
 
-    raw = {k: v.select("*", *[F.lit("x").alias(c) if c != "_source_row_number" else F.lit(2).alias(c) for c in LINEAGE]) for k, v in generator.delivery(spark, defects=True).items()}
-    silver = quality.build_silver(raw["patients"], raw["admissions"], raw["lab_results"])
-    a = silver.accepted
-    master = identity.resolve(a["patients"], TEST_KEY, check=False).master
-    return features.build_gold(a["patients"], a["admissions"], a["lab_results"], master, dt.date(2025, 12, 31), check=False)
+
+@query
+def logistic_optimum(spark, sf_dir):
+    """Is the fit the optimum?  Each derivative of the objective, against the number of rows."""
+    rows, columns = _labelled(spark, sf_dir)
+    predict = learn.fit_logistic(rows, columns, "quality")
+    slopes, n = learn.gradient(rows, columns, predict, "quality"), rows.count()
+    return spark.createDataFrame([(i, bool(abs(g) < 1e-4 * n)) for i, g in enumerate(slopes)], "weight int, at_optimum boolean")

@@ -53,3 +53,17 @@ def connected_components(edges: DataFrame, left: str = "a", right: str = "b", ma
         raise RuntimeError("components did not settle")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+def join_members(rows: DataFrame, per_root: DataFrame, members: str, parts: int = 16) -> DataFrame:
+    """``rows`` (key, root, ...) with the columns that ``per_root`` has for each
+    root; ``members`` is its column with the number of keys of a root.
+
+    Each root is among the keys.  Rows of a root itself meet it alone; the others
+    are dealt by key to ``parts`` copies of the roots that have several, so the
+    members of a large component do not gather in one task.
+    """
+    own = rows.where("root = key").join(per_root, "root")
+    several = per_root.where(F.col(members) > 1).withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    others = rows.where("root != key").withColumn("_part", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int"))
+    return own.unionByName(others.join(several, ["root", "_part"]).drop("_part")).drop(members)

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .components import connected_components
+from .components import connected_components, join_members
 from .storage import drop, stash
 from .textio import flat, mix, shingle_hashes, slices, word_hashes, word_spans
 
@@ -32,8 +32,10 @@ REGISTERS = 128
 BAND = 4
 #: Bytes of text hashed at a time.
 SLICE_BYTES = 1 << 20
-#: Members of a bucket compared in one task; larger buckets go in pairs of blocks.
-BLOCK = 4096
+#: Members of a bucket, and distinct shingles of them, compared in one task;
+#: larger buckets go in pairs of blocks.
+BLOCK = 512
+BLOCK_SHINGLES = 2_000_000
 #: Pairs go to verification if their registers agree at least this much less
 #: than the threshold: five standard deviations at 128 registers.
 SLACK = 0.18
@@ -131,7 +133,8 @@ def _weights(w: np.ndarray) -> bytes | None:
 
 
 def sign(docs: DataFrame, key: Column, text: str = "text", size: int = SHINGLE, registers: int = REGISTERS, band: int = BAND, seed: int = 1) -> DataFrame:
-    """(key, bands) of every row with a word."""
+    """(key, bands, size) of every row with a word; size is the number of its
+    distinct shingles."""
 
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
@@ -140,9 +143,9 @@ def sign(docs: DataFrame, key: Column, text: str = "text", size: int = SHINGLE,
             for lo, rows, h, w, row, _ in _shingled(batch, size):
                 bands = _bands(signatures(h, w, row, len(rows), registers, seed), band).view(np.int64)
                 offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * bands.shape[1])
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows + lo)), pa.ListArray.from_arrays(offsets, pa.array(bands.ravel()))], ["key", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows + lo)), pa.ListArray.from_arrays(offsets, pa.array(bands.ravel())), pa.array(np.bincount(row, minlength=len(rows)))], ["key", "bands", "size"])
 
-    return docs.select(key.alias("key"), F.col(text).cast("string").alias("text")).where("text IS NOT NULL").mapInArrow(run, "key binary, bands array<long>")
+    return docs.select(key.alias("key"), F.col(text).cast("string").alias("text")).where("text IS NOT NULL").mapInArrow(run, "key binary, bands array<long>, size long")
 
 
 def _shingled(batch, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, tuple]]:
@@ -259,13 +262,14 @@ def _weight_array(w: bytes | None, n: int) -> np.ndarray:
 
 def bucket_links(members: DataFrame, threshold: float, registers: int) -> DataFrame:
     """(a, b) that join groups of the buckets in ``members``
-    (bucket, n, key, root, h, w, sig).
+    (bucket, n, shingles, key, root, h, w, sig).
 
-    A bucket of at most ``BLOCK`` members is one task's group.  A larger one is
-    dealt into blocks, and each pair of blocks is a group, so any bucket is
-    compared whole, in bounded memory.
+    A bucket of at most ``BLOCK`` members and ``BLOCK_SHINGLES`` shingles is one
+    task's group.  A larger one is dealt into blocks, and each pair of blocks is
+    a group, so any bucket is compared whole, in memory that its longest texts
+    bound.
     """
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
+    blocks = F.greatest(F.ceil(F.col("n") / F.lit(BLOCK)), F.ceil(F.col("shingles") / F.lit(BLOCK_SHINGLES))).cast("int")
     dealt = members.withColumn("_k", blocks).withColumn("_mine", F.pmod(F.xxhash64("key"), F.col("_k")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
     dealt = dealt.select("bucket", F.least("_mine", "_other").alias("i"), F.greatest("_mine", "_other").alias("j"), "key", "root", "h", "w", "sig")
 
@@ -286,8 +290,9 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
 
 
-def maybe_in(rows: DataFrame, keys: DataFrame, column: str, bits: int = 1 << 23) -> DataFrame:
-    """The rows whose key may be among ``keys``: a filter by one bitmap.
+def maybe_in(rows: DataFrame, keys: DataFrame, column: str, bits: int = 1 << 23, negate: bool = False) -> DataFrame:
+    """The rows whose key may be among ``keys``: a filter by one bitmap; or, if
+    ``negate``, all other rows, those with a null key too.
 
     The bitmap has ``bits`` bits however many keys there are, so the broadcast
     is bounded by bits / 64 rows.  It lets every true key pass; the join that
@@ -301,6 +306,9 @@ def maybe_in(rows: DataFrame, keys: DataFrame, column: str, bits: int = 1 << 23)
     names = rows.columns
     rows = rows.withColumn("_at", place(column))
     hit = F.expr("(shiftright(_bits, cast(_at & 63 as int)) & 1L) = 1L")
+    if negate:
+        known = F.col(column).isNotNull() & F.coalesce(hit, F.lit(False))
+        return rows.join(F.broadcast(marks), F.shiftright("_at", 6) == F.col("_word"), "left").where(~known).select(*names)
     return rows.join(F.broadcast(marks), F.shiftright("_at", 6) == F.col("_word")).where(hit).select(*names)
 
 
@@ -327,9 +335,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     secret = secrets.randbits(63) | 1
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_key(F.col(text)).alias("key"), F.col(text).cast("string").alias("text"))
     signed = stash(sign(rows, F.col("key"), "text", size, registers, band), "signatures")
-    hashes = signed.select("key", F.explode("bands").alias("bucket")).withColumn("r", F.xxhash64("key", "bucket"))
+    hashes = signed.select("key", "size", F.explode("bands").alias("bucket")).withColumn("r", F.xxhash64("key", "bucket"))
     buckets = hashes.groupBy("bucket").agg(F.min("r").alias("first"), F.max("r").alias("last")).where("first != last")
-    members = stash(hashes.join(buckets.select("bucket", "first"), "bucket").groupBy("bucket", "key").agg(F.min("r").alias("r"), F.min("first").alias("first")), "members")
+    members = stash(hashes.join(buckets.select("bucket", "first"), "bucket").groupBy("bucket", "key").agg(F.min("r").alias("r"), F.min("first").alias("first"), F.max("size").alias("size")), "members")
     # every member meets the one that the bucket draws
     drawn = members.where("r = first").select("bucket", F.col("key").alias("c"))
     stars = members.where("r != first").join(drawn, "bucket").select(F.least("c", "key").alias("a"), F.greatest("c", "key").alias("b")).distinct()
@@ -339,10 +347,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     links = stash(verify(stars, shingles, threshold), "links")
     roots = connected_components(links)
     # buckets that still hold several groups
-    grouped = members.join(roots, members["key"] == roots["node"], "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
+    grouped = members.join(roots, members["key"] == roots["node"], "left").select("bucket", "key", "size", F.coalesce("root", "key").alias("root"))
     grouped = stash(grouped, "grouped")
-    several = grouped.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("n > 2 AND lo != hi").select("bucket", "n")
-    left = grouped.join(several, "bucket").join(shingles, "key")
+    several = grouped.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("n > 2 AND lo != hi").select("bucket", "n", "shingles")
+    left = grouped.drop("size").join(several, "bucket").join(shingles, "key")
     more = stash(bucket_links(left, threshold, registers), "links")
     if not more.isEmpty():
         roots = connected_components(links.unionByName(more))
@@ -355,8 +363,9 @@ def classes(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """Class columns of the rows (doc_id, key), given each linked key's root."""
     per_key = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     per_key = per_key.join(roots, per_key["key"] == roots["node"], "left").select("key", "least", "n", F.coalesce("root", "key").alias("root"))
-    per_root = per_key.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("n").alias("n_copies"))
-    per_key = stash(per_key.join(per_root, "root").select("key", "root", "class_id", "n_copies"), "classes")
+    per_key = stash(per_key, "classes")
+    per_root = per_key.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("n").alias("n_copies"), F.count("*").alias("keys"))
+    per_key = stash(join_members(per_key, per_root, "keys").select("key", "root", "class_id", "n_copies"), "classes")
     out = rows.join(per_key, "key", "left")
     alone = F.col("key").isNull()
     out = out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"), "key", "root")

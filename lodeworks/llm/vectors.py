@@ -8,27 +8,68 @@ compared, and the others are joined recursively, halves against halves.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .components import connected_components
-from .storage import stash
+from .components import connected_components, join_members
+from .storage import drop, stash
+from .textio import flat
 
 #: Leading principal dimensions that make the grid.
 GRID_DIMS = 6
 #: Vectors of an interval, and of the smallest interval that is still halved.
 BLOCK = 1024
 LEAF = 128
+#: Intervals of a group, and bytes of their vectors: a task joins two groups.
+GROUP = 16
+GROUP_BYTES = 32 << 20
 
 
-def usable(label: Column, vector: Column) -> Column:
-    """Has the row a label and a vector of finite components, not all zero?"""
-    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return label.isNotNull() & vector.isNotNull() & F.coalesce(~bad, F.lit(False)) & F.coalesce(F.exists(vector, lambda x: x != 0), F.lit(False))
+def matrices(col) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, their vectors as one matrix) for each length in an Arrow column of
+    doubles as bytes."""
+    data, offsets = flat(col)
+    size = np.diff(offsets) // 8
+    for d in np.unique(size).tolist():
+        rows = np.flatnonzero(size == d)
+        if len(rows) == len(size):
+            yield rows, data.view(np.float64).reshape(len(rows), d)
+        else:
+            yield rows, data[(offsets[rows][:, None] + np.arange(8 * d)).ravel()].view(np.float64).reshape(len(rows), d)
+
+
+def keyed(rows: DataFrame) -> DataFrame:
+    """(vec_id, label, key, v) of (vec_id, label, v): the vector as bytes, and a
+    key of label and vector (128 bits of SHA-256), both null where the label is
+    null, or the vector is null, empty, zero or holds what is no finite number."""
+
+    def run(batches: Iterable) -> Iterator:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            label, col = batch.column(1), batch.column(2)
+            size = pc.fill_null(pc.list_value_length(col), 0).to_numpy().astype(np.int64)
+            # a null vector may have places in the buffer, so only its own values are taken
+            values = col.flatten()
+            x = pc.fill_null(values, float("nan")).to_numpy(zero_copy_only=False).astype(np.float64) + 0.0  # no -0.0
+            ends = np.cumsum(size)
+            starts = ends - size
+            count = lambda good: np.concatenate([[0], np.cumsum(good)])
+            finite, other = count(np.isfinite(x)), count(x != 0)
+            fit = (finite[ends] - finite[starts] == size) & (other[ends] > other[starts]) & ~np.asarray(label.is_null().to_numpy(zero_copy_only=False))
+            raw, names = x.tobytes(), label.to_pylist()
+            vectors = [raw[8 * i : 8 * j] if ok else None for i, j, ok in zip(starts.tolist(), ends.tolist(), fit.tolist())]
+            keys = [None if v is None else hashlib.sha256(f"{n}|".encode() + v).digest()[:16] for n, v in zip(names, vectors)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), label, pa.array(keys, pa.binary()), pa.array(vectors, pa.binary())], ["vec_id", "label", "key", "v"])
+
+    return rows.select("vec_id", "label", "v").mapInArrow(run, "vec_id long, label long, key binary, v binary")
 
 
 def unit(raw: np.ndarray) -> np.ndarray:
@@ -48,26 +89,15 @@ def principal_axes(vectors: DataFrame, dims: int) -> dict[int, np.ndarray]:
     def moments(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        sums: dict[int, np.ndarray] = {}
+        totals: dict[int, np.ndarray] = {}
         for batch in batches:
-            for x in batch.column(0).to_pylist():
-                v = unit(np.asarray(x, np.float64)[None, :])
-                sums.setdefault(len(x), []).append(v[0])
-                if len(sums[len(x)]) >= 2048:
-                    m = np.stack(sums[len(x)])
-                    moment = m.T @ m
-                    totals[len(x)] = totals.get(len(x), 0) + moment
-                    sums[len(x)] = []
-        for d, held in sums.items():
-            if held:
-                m = np.stack(held)
-                totals[d] = totals.get(d, 0) + m.T @ m
+            for _, m in matrices(batch.column(0)):
+                m = unit(m)
+                totals[m.shape[1]] = totals.get(m.shape[1], 0) + m.T @ m
         part = TaskContext.get().partitionId()
         for d, moment in totals.items():
             yield pa.RecordBatch.from_arrays([pa.array([d], pa.int32()), pa.array([part % 16], pa.int32()), pa.array([moment.tobytes()], pa.binary())], ["d", "slot", "m"])
 
-    totals: dict[int, np.ndarray] = {}
-
     def add(pdf):
         import pandas as pd
 
@@ -127,18 +157,20 @@ def forest(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _blocks(vectors: DataFrame, axes: dict[int, np.ndarray], eps: float, tasks: int) -> DataFrame:
-    """Intervals of the grid order: (block, label, d, n, lo, hi, ids, weights, vecs, proj)."""
+    """Intervals of the grid order: (block, label, d, n, lo, hi, ids, weights,
+    vecs), the vectors scaled to length one."""
 
     def cells(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            xs = batch.column(2).to_pylist()
-            proj = [unit(np.asarray(x, np.float64)[None, :])[0] @ axes[len(x)] for x in xs]
-            grid = [np.floor(p / eps).astype(np.int32).tolist() for p in proj]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(x) for x in xs], pa.int32()), pa.array([g + [0] * (GRID_DIMS - len(g)) for g in grid], pa.list_(pa.int32())),
-                 pa.array([np.asarray(x, np.float64).tobytes() for x in xs], pa.binary()), batch.column(3)], ["key", "label", "d", "cell", "v", "weight"])
+            n = batch.num_rows
+            d, grid = np.zeros(n, np.int32), np.zeros((n, GRID_DIMS), np.int32)
+            for rows, m in matrices(batch.column(2)):
+                cell = np.floor(unit(m) @ axes[m.shape[1]] / eps).astype(np.int32)
+                d[rows], grid[rows, : cell.shape[1]] = m.shape[1], cell
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * GRID_DIMS), pa.array(grid.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d), lists, batch.column(2), batch.column(3)], ["key", "label", "d", "cell", "v", "weight"])
 
     placed = vectors.select("key", "label", "v", "weight").mapInArrow(cells, "key binary, label long, d int, cell array<int>, v binary, weight long")
     placed = placed.repartitionByRange(tasks, "label", "d", "cell", "key").sortWithinPartitions("label", "d", "cell", "key")
@@ -146,25 +178,39 @@ def _blocks(vectors: DataFrame, axes: dict[int, np.ndarray], eps: float, tasks:
     def cut(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        part, seq, held, at = TaskContext.get().partitionId(), 0, [], None
+        schema = pa.schema([("block", pa.int64()), ("label", pa.int64()), ("d", pa.int32()), ("n", pa.int32()), ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64())),
+                            ("ids", pa.list_(pa.binary())), ("weights", pa.list_(pa.int64())), ("vecs", pa.binary())])
+        part, seq = TaskContext.get().partitionId(), 0
+        held: list = []  # parts (keys, weights, vectors) of one label and length
+        at = None
 
         def block():
-            vecs = np.stack([np.frombuffer(r["v"], np.float64) for r in held])
-            proj = unit(vecs) @ axes[vecs.shape[1]]
-            row = {"block": (part << 32) + seq, "label": at[0], "d": at[1], "n": len(held), "lo": proj.min(0).tolist(), "hi": proj.max(0).tolist(),
-                   "ids": [r["key"] for r in held], "weights": [r["weight"] for r in held], "vecs": vecs.tobytes()}
+            nonlocal seq, held
+            vecs = unit(np.concatenate([m for _, _, m in held]))
+            proj = vecs @ axes[vecs.shape[1]]
+            row = {"block": (part << 32) + seq, "label": at[0], "d": at[1], "n": len(vecs), "lo": proj.min(0).tolist(), "hi": proj.max(0).tolist(),
+                   "ids": [k for ks, _, _ in held for k in ks], "weights": np.concatenate([w for _, w, _ in held]), "vecs": vecs.tobytes()}
+            seq, held = seq + 1, []
             return pa.RecordBatch.from_pylist([row], schema)
 
-        schema = pa.schema([("block", pa.int64()), ("label", pa.int64()), ("d", pa.int32()), ("n", pa.int32()), ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64())),
-                            ("ids", pa.list_(pa.binary())), ("weights", pa.list_(pa.int64())), ("vecs", pa.binary())])
         for batch in batches:
-            for r in batch.to_pylist():
-                here = (r["label"], r["d"])
-                if held and (here != at or len(held) >= BLOCK):
+            label, d, weight = (batch.column(i).to_numpy() for i in (1, 2, 5))
+            data, offsets = flat(batch.column(4))
+            edges = [0, *(np.flatnonzero((label[1:] != label[:-1]) | (d[1:] != d[:-1])) + 1).tolist(), len(label)]
+            for lo, hi in zip(edges, edges[1:]):
+                if lo == hi:
+                    continue
+                here = (int(label[lo]), int(d[lo]))
+                if held and here != at:
                     yield block()
-                    seq, held = seq + 1, []
                 at = here
-                held.append(r)
+                while lo < hi:
+                    n = min(hi - lo, BLOCK - sum(len(ks) for ks, _, _ in held))
+                    m = data[offsets[lo] : offsets[lo + n]].copy().view(np.float64).reshape(n, here[1])
+                    held.append((batch.column(0).slice(lo, n).to_pylist(), weight[lo : lo + n].copy(), m))
+                    lo += n
+                    if sum(len(ks) for ks, _, _ in held) >= BLOCK:
+                        yield block()
         if held:
             yield block()
 
@@ -172,20 +218,74 @@ def _blocks(vectors: DataFrame, axes: dict[int, np.ndarray], eps: float, tasks:
 
 
 def _block_pairs(blocks: DataFrame, eps: float) -> DataFrame:
-    """Pairs (a, b), a <= b, of intervals whose boxes may be within eps.
+    """Pairs (a, b), a <= b, of intervals whose boxes may be within eps, each with
+    the groups (ga, gb) that its ends are in.
 
-    Intervals meet by an equi-join on label and the cells that their box covers
-    on the first principal dimension, one cell wider on one side.
+    Intervals meet by an equi-join on label and the cells that their boxes cover
+    on the first two principal dimensions, one cell wider on one side.  A group
+    are neighbouring intervals of a label, as many as a task holds.
     """
-    meta = blocks.select("block", "label", "d", "lo", "hi")
-    first, last = F.floor(F.col("lo")[0] / eps), F.floor(F.col("hi")[0] / eps)
-    left = meta.withColumn("c", F.explode(F.sequence(first, last)))
-    right = meta.withColumn("c", F.explode(F.sequence(first - 1, last + 1)))
-    l, r = left.alias("l"), right.alias("r")  # noqa: E741
+    place = F.row_number().over(Window.partitionBy("label", "d").orderBy("block")) - 1  # one row an interval
+    group = F.greatest(F.lit(1), F.least(F.lit(GROUP), F.floor(F.lit(GROUP_BYTES) / (F.col("d") * 8 * BLOCK))))
+    meta = blocks.select("block", "label", "d", "lo", "hi").withColumn("g", F.floor(place / group).cast("int"))
+
+    def cells(df: DataFrame, wider: int) -> DataFrame:
+        for i in (0, 1):
+            # vectors of one component have no second dimension
+            low, high = (F.coalesce(F.floor(F.get(c, F.lit(i)) / eps), F.lit(0)) for c in ("lo", "hi"))
+            df = df.withColumn(f"c{i}", F.explode(F.sequence(low - wider, high + wider)))
+        return df
+
+    l, r = cells(meta, 0).alias("l"), cells(meta, 1).alias("r")  # noqa: E741
     gap = F.aggregate(F.zip_with(F.zip_with("l.lo", "r.hi", lambda x, y: x - y), F.zip_with("r.lo", "l.hi", lambda x, y: x - y), lambda x, y: F.greatest(x, y, F.lit(0.0))),
                       F.lit(0.0), lambda acc, x: acc + x * x)
-    met = l.join(r, (F.col("l.label") == F.col("r.label")) & (F.col("l.d") == F.col("r.d")) & (F.col("l.c") == F.col("r.c")) & (F.col("l.block") <= F.col("r.block")))
-    return met.where(gap <= eps * eps + 1e-9).select(F.col("l.block").alias("a"), F.col("r.block").alias("b")).distinct()
+    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("label", "d", "c0", "c1")]
+    met = l.join(r, same[0] & same[1] & same[2] & same[3] & (F.col("l.block") <= F.col("r.block"))).where(gap <= eps * eps + 1e-9)
+    return met.select("l.label", "l.d", F.col("l.g").alias("ga"), F.col("r.g").alias("gb"), F.col("l.block").alias("a"), F.col("r.block").alias("b")).distinct()
+
+
+def _links(blocks: DataFrame, pairs: DataFrame, axes: dict[int, np.ndarray], least: float) -> DataFrame:
+    """(key, links, root) of the nodes that link, from every pair of groups of
+    intervals: each interval goes once to each group that it meets."""
+    task = ["label", "d", "ga", "gb"]
+    need = pairs.select(*task, F.col("a").alias("block")).unionByName(pairs.select(*task, F.col("b").alias("block"))).distinct()
+    bodies = need.join(blocks.select("block", "ids", "weights", "vecs"), "block")
+    none = F.lit(None)
+    both = bodies.select(*task, "block", none.cast("long").alias("b"), "ids", "weights", "vecs").unionByName(
+        pairs.select(*task, F.col("a").alias("block"), "b", none.cast("array<binary>").alias("ids"), none.cast("array<long>").alias("weights"), none.cast("binary").alias("vecs")))
+
+    def run(group):
+        import pyarrow as pa
+
+        d = group["d"][0].as_py()
+        first, second = group["block"].to_numpy(), group["b"].to_pylist()
+        ids, weights, vecs, base = [], [], {}, {}
+        for i, (block, partner) in enumerate(zip(first.tolist(), second)):
+            if partner is None:
+                base[block] = len(ids)
+                ids += group["ids"][i].as_py()
+                weights.append(np.asarray(group["weights"][i].as_py(), np.int64))
+                v = np.frombuffer(group["vecs"][i].as_py(), np.float64).reshape(-1, d)
+                vecs[block] = v, v @ axes[d]
+        weight, links, tree_x, tree_y = np.concatenate(weights), np.zeros(len(ids), np.int64), [], []
+        for a, b in zip(first.tolist(), second):
+            if b is None:
+                continue
+            for x, y in join_intervals(*vecs[a], *vecs[b], least, a == b):
+                x, y = x + base[a], y + base[b]
+                np.add.at(links, x, weight[y])
+                np.add.at(links, y, weight[x])
+                # a leaf's links are kept as a spanning forest only
+                nodes, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+                root = forest(len(nodes), at[: len(x)], at[len(x) :])
+                got = np.flatnonzero(root != np.arange(len(nodes)))
+                tree_x.append(nodes[got])
+                tree_y.append(nodes[root[got]])
+        root = forest(len(ids), np.concatenate(tree_x), np.concatenate(tree_y)) if tree_x else np.arange(len(ids))
+        at = np.flatnonzero(links).tolist()
+        return pa.table({"key": pa.array([ids[i] for i in at], pa.binary()), "links": pa.array(links[at], pa.int64()), "root": pa.array([ids[root[i]] for i in at], pa.binary())})
+
+    return both.groupBy(*task).applyInArrow(run, "key binary, links long, root binary")
 
 
 def near_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", least: float = 0.98) -> DataFrame:
@@ -202,53 +302,22 @@ def near_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding
     row's own.  Empty tables give empty results; other columns are not read.
     """
     eps = float(np.sqrt(2.0 - 2.0 * least))
-    rows = table.select(F.col(key).cast("long").alias("vec_id"), F.col(label).cast("long").alias("label"), F.col(vector).cast("array<double>").alias("v"))
-    good = usable(F.col("label"), F.col("v"))
-    # 0.0 and -0.0 are one number, and would differ as text
-    node = F.when(good, F.unhex(F.md5(F.concat_ws("|", F.col("label").cast("string"), F.transform("v", lambda x: (x + F.lit(0.0)).cast("string"))))))
-    rows = rows.withColumn("key", node)
+    rows = keyed(table.select(F.col(key).cast("long").alias("vec_id"), F.col(label).cast("long").alias("label"), F.col(vector).cast("array<double>").alias("v")))
     nodes = stash(rows.where("key IS NOT NULL").groupBy("key").agg(F.first("label").alias("label"), F.first("v").alias("v"), F.count("*").alias("weight"), F.min("vec_id").alias("least")), "nodes")
     axes = principal_axes(nodes, GRID_DIMS)
     tasks = max(1, min(10_000, -(-nodes.count() // (4 * BLOCK))))
     blocks = stash(_blocks(nodes, axes, eps, tasks), "blocks")
     pairs = stash(_block_pairs(blocks, eps), "block-pairs")
-    body = blocks.select("block", "ids", "weights", "vecs", "d")
-    both = pairs.join(body.select(F.col("block").alias("a"), *[F.col(c).alias(f"{c}_a") for c in ("ids", "weights", "vecs")], "d"), "a")
-    both = both.join(body.select(F.col("block").alias("b"), *[F.col(c).alias(f"{c}_b") for c in ("ids", "weights", "vecs")]), "b")
-
-    def run(batches: Iterable) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            for r in batch.to_pylist():
-                same, d = r["a"] == r["b"], r["d"]
-                a, b = (unit(np.frombuffer(r[c], np.float64).reshape(-1, d)) for c in ("vecs_a", "vecs_b"))
-                n, m = len(a), len(b)
-                links = np.zeros(n + m, np.int64)
-                wa, wb = np.asarray(r["weights_a"]), np.asarray(r["weights_b"])
-                xs, ys = [], []
-                for x, y in join_intervals(a, a @ axes[d], b, b @ axes[d], least, same):
-                    np.add.at(links, x, wb[y])
-                    np.add.at(links, y if same else y + n, wa[x])
-                    # a leaf's links are kept as a spanning forest only
-                    root = forest(n + m, x, y if same else y + n)
-                    got = np.flatnonzero(root != np.arange(n + m))
-                    xs.append(got)
-                    ys.append(root[got])
-                if not xs:
-                    continue
-                root = forest(n + m, np.concatenate(xs), np.concatenate(ys))
-                ids = r["ids_a"] + r["ids_b"]
-                at = np.flatnonzero(links)
-                yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in at], pa.binary()), pa.array(links[at]), pa.array([ids[root[i]] for i in at], pa.binary())], ["key", "links", "root"])
-
-    found = stash(both.mapInArrow(run, "key binary, links long, root binary"), "links")
+    found = stash(_links(blocks, pairs, axes, least), "links")
+    drop(blocks, pairs)
     roots = connected_components(found.where("key != root"), "key", "root")
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
     state = nodes.select("key", "weight", "least").join(links, "key", "left").join(roots.withColumnRenamed("node", "key"), "key", "left")
     state = state.withColumn("root", F.coalesce("root", "key"))
-    ids = state.groupBy("root").agg(F.min("least").alias("component"))
-    state = stash(state.join(ids, "root").select("key", "component", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links")), "state")
+    state = stash(state, "members")
+    ids = state.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("nodes"))
+    state = stash(join_members(state, ids, "nodes").select("key", "component", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links")), "state")
+    drop(nodes, found)
     out = rows.select("vec_id", "key").join(state, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("vec_id")).otherwise(F.col("component"))
     out = out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"))

@@ -9,13 +9,15 @@ into spans.  The language with most letters in its spans is the prediction.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..errors import require
+
 #: Texts that a language's model is fitted on, at most (a bounded sample, by hash).
 FIT_DOCS = 3000
 #: Characters of text that one task turns into counts at a time.
@@ -24,6 +26,8 @@ BUCKETS = 1 << 16
 #: Cost, in natural log units, of changing the language between two words.
 SWITCH = 6.0
 UNDETERMINED = "und"
+#: Languages that one model can hold; more labels than that are refused.
+MAX_LANGS = 2000
 
 #: First and last code point of the blocks of each script.
 SCRIPTS = {
@@ -144,7 +148,8 @@ def fit(docs: DataFrame, text: str, lang: str, key: str, max_docs: int = FIT_DOC
     at most ``BUCKETS`` rows a language come back.
     """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sizes = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}  # one row a language
+    sizes = {r[0]: r[1] for r in rows.groupBy(lang).count().limit(MAX_LANGS + 1).collect()}  # one row a language
+    require(len(sizes) <= MAX_LANGS, "the labels name more languages than a model holds")
     if not sizes:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((256, 0), bool))
     rate = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, max_docs / n))]), F.col(lang))
@@ -238,9 +243,11 @@ def viterbi(scores: np.ndarray, start: np.ndarray, length: np.ndarray, switch: f
     return out
 
 
-def label_texts(model: Model, texts: list[str | None], switch: float = SWITCH) -> Iterator[tuple[str, float, list[tuple[str, int]]]]:
-    """(language, share of letters in it, spans) of each text; spans are runs
-    of words of one language with their number of words.
+def label_texts(model: Model, texts: list[str | None], switch: float = SWITCH) -> Iterator[tuple[str, float, list[tuple[str, int]], float]]:
+    """(language, share of letters in it, spans, fit) of each text; spans are
+    runs of words of one language with their number of words, and ``fit`` is the
+    mean log-probability of a letter's trigram above that of a uniform draw:
+    below 0 a text is likelier noise than any of the languages.
 
     The language is ``und`` with score 0 for a null text, one without a letter,
     or an empty model.  Ties go to the first language by code point.
@@ -249,36 +256,55 @@ def label_texts(model: Model, texts: list[str | None], switch: float = SWITCH) -
         w = split_words(t_all[lo:hi])
         n = hi - lo
         if not len(w.row) or not model.langs:
-            yield from ((UNDETERMINED, 0.0, []) for _ in range(n))
+            yield from ((UNDETERMINED, 0.0, [], 0.0) for _ in range(n))
             continue
         length = np.bincount(w.row, minlength=n)
         start = np.concatenate([[0], np.cumsum(length)[:-1]])
-        lab = viterbi(word_scores(model, w), start, length, switch)
+        scored = word_scores(model, w)
+        lab = viterbi(scored, start, length, switch)
+        letters = np.bincount(w.row, w.letters, n)
+        fit_ = np.bincount(w.row, scored[np.arange(len(lab)), lab], n) / np.maximum(letters, 1) + np.log(BUCKETS)
         share = np.zeros((n, len(model.langs)))
         np.add.at(share, (w.row, lab), w.letters)
         for i in range(n):
             if not length[i]:
-                yield UNDETERMINED, 0.0, []
+                yield UNDETERMINED, 0.0, [], 0.0
                 continue
             mine = lab[start[i] : start[i] + length[i]]
             cut = np.flatnonzero(np.diff(mine)) + 1
             edges = [0, *cut.tolist(), len(mine)]
             top = int(share[i].argmax())
-            yield model.langs[top], float(share[i, top] / share[i].sum()), [(model.langs[mine[a]], b - a) for a, b in zip(edges, edges[1:])]
+            yield model.langs[top], float(share[i, top] / share[i].sum()), [(model.langs[mine[a]], b - a) for a, b in zip(edges, edges[1:])], float(fit_[i])
+
+
+def fresh(columns: list[str], *wanted: str) -> list[str]:
+    """The wanted names, each with underscores before it until no column has it."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+ADDED = ("lang_pred", "score", "spans", "fit")
+_KINDS = ("string", "double", "array<struct<lang:string,words:long>>", "double")
 
 
-def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", switch: float = SWITCH, keep_text: bool = False) -> DataFrame:
-    """(doc_id, lang_pred, score, spans) of each row; one row out for each in.
+def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", switch: float = SWITCH) -> DataFrame:
+    """(doc_id, lang_pred, score, spans, fit) of each row; one row out for each in."""
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return with_languages(rows, model, "text", switch, ADDED).drop("text")
 
-    With ``keep_text`` the rows keep all their columns instead, and three are
-    added: ``_lang_pred``, ``_score``, ``_spans``.  The model is broadcast; its
+
+def with_languages(rows: DataFrame, model: Model, text: str, switch: float, names: Sequence[str]) -> DataFrame:
+    """The rows with what :func:`label_texts` finds in new columns ``names``,
+    which no column may have yet (see :func:`fresh`).  The model is broadcast; its
     size is bounded by ``BUCKETS`` floats a language.  Key and language are not
-    inputs of a prediction.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs if keep_text else docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    names = list(rows.columns)
-    at = names.index(text if keep_text else "text")
+    inputs of a prediction."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    columns, at = [*rows.columns, *names], rows.columns.index(text)
 
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
@@ -289,16 +315,10 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
                 part = batch.slice(lo, 1000)
                 got = list(label_texts(shared.value, part.column(at).to_pylist(), switch))
                 new = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()),
-                       pa.array([[{"lang": x, "words": int(k)} for x, k in g[2]] for g in got], spans_type)]
-                if keep_text:
-                    yield pa.RecordBatch.from_arrays([*part.columns, *new], [*names, "_lang_pred", "_score", "_spans"])
-                else:
-                    yield pa.RecordBatch.from_arrays([part.column(0), *new], ["doc_id", "lang_pred", "score", "spans"])
-
-    if keep_text:
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", `_lang_pred` string, `_score` double, `_spans` array<struct<lang:string,words:long>>"
-    else:
-        schema = "doc_id long, lang_pred string, score double, spans array<struct<lang:string,words:long>>"
+                       pa.array([[{"lang": x, "words": int(k)} for x, k in g[2]] for g in got], spans_type), pa.array([g[3] for g in got], pa.float64())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], columns)
+
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields] + [f"`{n}` {k}" for n, k in zip(names, _KINDS)])
     return rows.mapInArrow(run, schema)
 
 
@@ -309,7 +329,12 @@ def crc_mod(key, mod: int):
 
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 3, held: int = 1) -> DataFrame:
     """Fit on the rows outside fold ``held`` and label every row:
-    (doc_id, held_out, lang_pred, score, spans)."""
+    (doc_id, held_out, lang_pred, score, spans).
+
+    A null text, or one without a letter, is ``und`` with score 0, and so is all
+    if no row has a label.  Rows with a null key count as of an empty key; equal
+    texts have equal labels; other columns are not read.
+    """
     fold = crc_mod(F.col(key), folds)
     model = fit(docs.where(fold != held), text, lang, key)
     return predict(docs, model, key, text).select("doc_id", (crc_mod(F.col("doc_id"), folds) == held).alias("held_out"), "lang_pred", "score", "spans")

@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .storage import stash
+
 #: Folder of the public tokenizers' files; a parameter, not part of the repository.
 TOKENIZERS = os.environ.get("LODEWORKS_TOKENIZERS", "")
 
@@ -59,7 +61,8 @@ def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .media import with_features, with_media
 
-    got = with_features(with_media(_table(spark, sf_dir, "documents")))
+    # the media are written, and the features computed from what is read back
+    got = with_features(stash(with_media(_table(spark, sf_dir, "documents")), "media"))
     codes = F.col("fingerprint")
     return got.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256",
                       F.concat_ws(":", F.size(codes).cast("string"), F.lower(F.hex(F.xxhash64(codes)))).alias("feature"))

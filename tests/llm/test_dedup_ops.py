@@ -200,7 +200,7 @@ def test_vector_edges(spark):
 PAGES = "page_id long, url string, html string, first string, d int"
 
 
-def test_archives(spark):
+def test_archives(spark, monkeypatch):
     long_ = "<p>é " + "x" * 200
     rows = [(5, "http://a/ü b", long_), (2, "http://b", long_), (9, None, long_), (3, "http://c", None), (4, "http://d", ""), (7, "u", "short"), (8, "u", "short"), (2, "http://b", long_), (None, "v", long_), (11, "w", "y" * 3_000_000)]
     df = spark.createDataFrame([(*r, "f", 1) for r in rows], PAGES).repartition(3)
@@ -210,15 +210,36 @@ def test_archives(spark):
     assert sorted((tuple(r)[:6] for r in got), key=str) == sorted(want, key=str)
     assert {bytes(r["payload"]) for r in got if r["page_id"] == 11} == {b"y" * 3_000_000}
     assert warc.roundtrip(df.limit(0)).count() == 0
+    # beyond the limit of the broadcast, by one bitmap
+    monkeypatch.setattr(warc, "BROADCAST_DIGESTS", 0)
+    assert sorted((tuple(r)[:6] for r in warc.roundtrip(df).collect()), key=str) == sorted(want, key=str)
+
+
+def test_records_are_whole(spark, tmp_path):
+    rows = [(1, "http://a", "x" * 150), (1, "http://a", "x" * 150), (2, None, "x" * 150), (3, "http://b", "y")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    paths = [r["path"] for r in warc.write_archives(df, str(tmp_path / "w")).collect()]
+    heads = [h for p in paths for h, _ in warc.read_records(open(p, "rb"))]
+    assert len({h["warc-record-id"] for h in heads}) == 4 and all(h["warc-date"].endswith("Z") and h["content-type"] for h in heads)
+    again = next(h for h in heads if h["warc-type"] == "revisit")
+    assert (again["x-page"], again["x-refers-to-page"], again["warc-refers-to-target-uri"]) == ("2", "1", "http://a")
+
+
+def test_members_are_inflated_in_steps(monkeypatch):
+    monkeypatch.setattr(warc, "_BUFFER", 7)
+    payloads = [b"", b"a" * 100_000, bytes(range(256)) * 40]
+    raw = b"".join(warc.record_bytes(i, None, p, None) for i, p in enumerate(payloads))
+    assert [b for _, b in warc.read_records(io.BytesIO(raw))] == payloads
 
 
 def test_damaged_archives():
-    good = warc.record_bytes(1, "http://a", b"payload", None, False)
+    good = warc.record_bytes(1, "http://a", b"payload", None)
     assert [b for _, b in warc.read_records(io.BytesIO(good + good))] == [b"payload"] * 2
     import gzip
 
     raw = gzip.decompress(good)
-    for bad in (good[:-9], gzip.compress(raw.replace(b"payload", b"paylord")), gzip.compress(raw.replace(b"Content-Length: 7", b"Content-Length: 6")), gzip.compress(b"no header")):
+    for bad in (good[:-9], gzip.compress(raw.replace(b"payload", b"paylord")), gzip.compress(raw.replace(b"Content-Length: 7", b"Content-Length: 6")), gzip.compress(b"no header"),
+                gzip.compress(raw.replace(b"X-Payload-Length: 7", b"X-Payload-Length: 8")), gzip.compress(raw.replace(b"WARC-Date", b"WARC-Time")), gzip.compress(raw + b"more"), good + b"trash"):
         with pytest.raises(warc.WarcError):
             list(warc.read_records(io.BytesIO(bad)))
 
@@ -287,3 +308,50 @@ def test_pipeline(spark, tmp_path):
     last = corpus_pipeline.run(spark, str(tmp_path))
     assert last.count() == third.count() and last.where("NOT round_trip").count() == 0
     assert langid.UNDETERMINED == "und"
+
+
+STAGED = "doc_id long, text string, lang string, source string, n_chars long, _score string, score string, _row int, _id int, _key string, key string"
+
+
+def test_pipeline_stages_keep_their_statements(spark):
+    """Nulls, empty texts, ties, repeated rows, noise and clashing names, stage by stage."""
+    import sentencepiece
+
+    import corpus_pipeline
+    from lodeworks.llm.queries import tokenizer_file
+
+    r = random.Random(4)
+    words = "the a of to and in river stone house cloud walking over under many people".split()
+    clash = ("x", "y", 1, 2, "k", "k")
+    text = lambda n: " ".join(r.choice(words) for _ in range(n))
+    rows = [(i, text(r.randint(20, 50)), "en", f"s{i % 3}", 0, *clash) for i in range(120)]
+    noise = " ".join("".join(r.choice("bcdfghjklmnpqrstvwxz") for _ in range(8)) for _ in range(40))
+    odd = [(200, None, "en", "s0", 0, *clash), (201, "", "en", None, 0, *clash), (202, "12 34", None, "s0", None, *clash), (203, noise, None, "s1", 0, *clash), (None, text(30), "en", None, 0, *clash), (5, rows[5][1], "en", "s2", 0, *clash)]
+    docs = spark.createDataFrame(rows + odd, STAGED).repartition(3)
+    stages = dict(corpus_pipeline.STAGES)
+    first = stages["language_id"](spark, docs, "")
+    assert first.columns == docs.columns
+    assert sorted(x["doc_id"] is None or x["doc_id"] for x in first.collect()) == sorted([*range(120), 5, True])
+    second = stages["near_dedup"](spark, docs, "")
+    kept = [x["doc_id"] for x in second.collect()]
+    classes = brute_classes([x[1] for x in rows])
+    want = sorted(set(classes)) + [200, 201, 202, 203]
+    assert second.columns == docs.columns and sorted(k for k in kept if k is not None) == want and kept.count(None) == 1
+    third = stages["source_mix"](spark, docs, "")
+    sizes, taken = {}, {}
+    for x in docs.collect():
+        sizes[x["source"]] = sizes.get(x["source"], 0) + len((x["text"] or "").split())
+    for x in third.collect():
+        taken[x["source"]] = taken.get(x["source"], 0) + len((x["text"] or "").split())
+    total, level = sum(sizes.values()), {s: w for s, w in zip(sorted(sizes, key=lambda s: (s is None, s or "")), (1, 2, 3, 1))}
+    goal = {s: total * w / 7 for s, w in level.items()}
+    over = {s for s in goal if goal[s] > 3 * sizes[s]}
+    assert over == {None} and taken[None] == 3 * sizes[None]  # what the last source cannot take is shared again
+    free = total - 3 * sizes[None]
+    assert third.columns == docs.columns and all(abs(taken[s] - free * level[s] / 6) <= 60 for s in level if s is not None)
+    path = tokenizer_file("piece_bpe_32k.model")
+    lib = sentencepiece.SentencePieceProcessor(model_file=path)
+    fourth = stages["sentencepiece"](spark, docs, "").collect()
+    assert sorted((str(x["doc_id"]), x["ids"], x["n_pieces"]) for x in fourth) == sorted((str(x[0]), lib.encode(x[1] or ""), len(lib.encode(x[1] or ""))) for x in rows + odd)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), "").count() == 0, name

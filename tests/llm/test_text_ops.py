@@ -233,10 +233,95 @@ def test_language(spark, docs, empty):
     assert [s[0] for s in mixed[0][2]] == ["en", "ru"] and [m[:2] for m in mixed[1:]] == [("und", 0.0)] * 3
     odd = langid.predict(docs, model).collect()
     assert len(odd) == len(ROWS) and all(0 <= o["score"] <= 1 for o in odd)
-    assert langid.predict(docs, model, keep_text=True).drop("_lang_pred", "_score", "_spans").columns == docs.columns
+    clash = docs.withColumn("score", F.lit("x")).withColumn("_SCORE", F.lit("y"))
+    added = langid.fresh(clash.columns, *langid.ADDED)
+    kept = langid.with_languages(clash, model, "text", 6.0, added)
+    assert kept.columns == [*clash.columns, *added] and "__score" in added and kept.drop(*added).exceptAll(clash).isEmpty()
     assert langid.identify(empty).count() == 0
 
 
+def brute_language(train, texts, switch):
+    """(language, share, spans, fit) of texts by plain dictionaries and all predecessors."""
+    def words(t):
+        for w in (t or "").split():
+            if any(c.isalpha() for c in w):
+                padded = " " + "".join(c.lower() if c.isalpha() else " " for c in w) + " "
+                yield [padded[i - 1 : i + 2] for i in range(1, len(padded) - 1) if padded[i] != " "]
+
+    langs = sorted({g for _, g in train})
+    counts = {g: {} for g in langs}
+    for t, g in train:
+        for w in words(t):
+            for x in w:
+                counts[g][x] = counts[g].get(x, 0) + 1
+    total = {g: 0.5 * langid.BUCKETS + sum(c.values()) for g, c in counts.items()}
+    out = []
+    for t in texts:
+        ws = list(words(t))
+        if not ws:
+            out.append(("und", 0.0, [], 0.0))
+            continue
+        s = [[sum(math.log((counts[g].get(x, 0) + 0.5) / total[g]) for x in w) for g in langs] for w in ws]
+        v, back = s[0], []
+        for row in s[1:]:
+            step = [max(range(len(langs)), key=lambda j: (v[j] - (j != k) * switch, j == k, -j)) for k in range(len(langs))]
+            back.append(step)
+            v = [v[step[k]] - (step[k] != k) * switch + row[k] for k in range(len(langs))]
+        path = [max(range(len(langs)), key=lambda k: (v[k], -k))]
+        for step in reversed(back):
+            path.append(step[path[-1]])
+        path.reverse()
+        letters = [0] * len(langs)
+        for k, w in zip(path, ws):
+            letters[k] += len(w)
+        top = max(range(len(langs)), key=lambda k: (letters[k], -k))
+        spans = []
+        for k in path:
+            if spans and spans[-1][0] == langs[k]:
+                spans[-1] = (langs[k], spans[-1][1] + 1)
+            else:
+                spans.append((langs[k], 1))
+        out.append((langs[top], letters[top] / sum(letters), spans, sum(row[k] for row, k in zip(s, path)) / sum(letters) + math.log(langid.BUCKETS)))
+    return out
+
+
+def test_language_equals_the_plain_version(spark):
+    r = random.Random(11)
+    words = {"aa": "the of and house river stone walking".split(), "bb": "der und schön über straße gehen haus".split(), "cc": "les une maison être où pierre".split()}
+    train = [(" ".join(r.choice(words[g]) for _ in range(r.randint(3, 20))), g) for g in r.choices(list(words), k=90)]
+    texts = [" ".join(r.choice(words[r.choice(list(words))]) if r.random() < 0.3 else r.choice(words["bb"]) for _ in range(r.randint(1, 25))) for _ in range(60)]
+    texts += ["", None, "12 - 34", "the-house, (river)! 5x", "qqzx wvkj xxqz", "THE HOUSE Über", "a"]
+    model = langid.fit(spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate(train)], "doc_id long, text string, lang string"), "text", "lang", "doc_id")
+    got, want = list(langid.label_texts(model, texts)), brute_language(train, texts, langid.SWITCH)
+    for g, w in zip(got, want):
+        assert g[0] == w[0] and math.isclose(g[1], w[1], abs_tol=1e-9) and g[2] == w[2] and math.isclose(g[3], w[3], abs_tol=1e-3)
+    assert got[64][3] < 0 < got[63][3]  # noise, and words of the model
+
+
+def brute_codes(payload):
+    """Pairs of spectral peaks from sums of products, frame by frame."""
+    padded = payload + b"\xff" * (-len(payload) % media.HOP)
+    samples = np.frombuffer(b"\xff" * media.HOP + padded + b"\xff" * media.HOP, np.uint8).astype(np.float64)
+    n = np.arange(media.FRAME)
+    weight = 0.5 - 0.5 * np.cos(2 * np.pi * (n + 1) / (media.FRAME + 1))
+    peaks = []
+    for at in range(0, len(samples) - media.FRAME + 1, media.HOP):
+        frame = (samples[at : at + media.FRAME] - samples[at : at + media.FRAME].mean()) * weight
+        level = [round(math.log2(abs(sum(frame * np.exp(-2j * np.pi * k * n / media.FRAME))) + 1) * 64) for k in range(1, media.FRAME // 2 + 1)]
+        tops = [k for k in range(len(level)) if level[k] > (level[k - 1] if k else 0) and level[k] >= (level[k + 1] if k + 1 < len(level) else 0)]
+        peaks.append([k + 1 for k in sorted(tops, key=lambda k: (-level[k], k))[: media.PEAKS]])
+    return sorted(t << 32 | a << 20 | b << 8 | dt for t in range(len(peaks)) for dt in range(1, media.AHEAD + 1) if t + dt < len(peaks) for a in peaks[t] for b in peaks[t + dt])
+
+
+def test_fingerprints_equal_the_plain_version():
+    r = random.Random(12)
+    same = every = 0
+    for text in ["", "a", "the end " * 40, "é漢字 " * 70, *(" ".join(r.choice("stone river house of the and".split()) for _ in range(r.randint(1, 200))) for _ in range(20))]:
+        got, want = media.fingerprint(media.pad(text.encode())).tolist(), brute_codes(media.pad(text.encode()))
+        same, every = same + len(set(got) & set(want)), every + len(set(got) | set(want))
+    assert every > 1000 and same >= 0.999 * every  # levels that round differently are rare
+
+
 def test_media(docs, empty):
     got = media.with_features(media.with_media(docs)).collect()
     assert len(got) == len(ROWS) and media.with_media(empty).count() == 0

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 from pyspark import TaskContext
@@ -25,7 +26,7 @@ from .textio import flat, slices
 from .unitcache import UnitIds
 
 #: Distinct units whose ids a worker remembers, and bytes of text encoded at a time.
-CACHE_UNITS = 600_000
+CACHE_UNITS = 800_000
 SLICE_BYTES = 1 << 20
 _STATE: dict = {}
 
@@ -79,7 +80,7 @@ class Encoder:
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer
 
-        self.tok, self.known = Tokenizer.from_file(path), UnitIds(dtype, CACHE_UNITS)
+        self.tok, self.known = Tokenizer.from_file(path), UnitIds(dtype, CACHE_UNITS, words=3)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each), from UTF-8 bytes."""
@@ -92,11 +93,13 @@ class Encoder:
         def spell(at: np.ndarray) -> list[str]:
             return [raw[i:j].decode() for i, j in zip(starts[at].tolist(), ends[at].tolist())]
 
-        def new(units: list[str]) -> list[np.ndarray]:
-            out = []
+        def new(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            parts, counts = [], []
             for lo in range(0, len(units), 20_000):
-                out += [np.array(e.ids, self.known.dtype) for e in self.tok.encode_batch_fast(units[lo : lo + 20_000], add_special_tokens=False)]
-            return out
+                ids = [e.ids for e in self.tok.encode_batch_fast(units[lo : lo + 20_000], add_special_tokens=False)]
+                counts.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+                parts.append(np.fromiter(chain.from_iterable(ids), self.known.dtype, int(counts[-1].sum())))
+            return np.concatenate(parts), np.concatenate(counts)
 
         ids, size = self.known.ids(data, starts, ends, spell, new)
         upto = np.concatenate([[0], np.cumsum(size)])

@@ -23,7 +23,7 @@ class UnitIds:
     in a dictionary of at most ``long_bytes`` of text.
     """
 
-    def __init__(self, dtype, limit: int = 800_000, words: int = 2, long_bytes: int = 8 << 20):
+    def __init__(self, dtype, limit: int = 800_000, words: int = 2, long_bytes: int = 1 << 20):
         self.dtype, self.limit, self.words, self.long_bytes = np.dtype(dtype), limit, words, long_bytes
         self._tiers = [self._empty(), self._empty()]  # large and settled, small and recent
         self._long: dict[str, np.ndarray] = {}
@@ -57,12 +57,12 @@ class UnitIds:
         return h[order], start[order], np.concatenate([a[2], b[2]])[order], np.concatenate([a[3], b[3]])[order], np.concatenate([a[4], b[4]])
 
     def ids(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, spell: Callable[[np.ndarray], list[str]],
-            encode: Callable[[list[str]], list[np.ndarray]], exact: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+            encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], exact: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all units one after the other, number of ids of each unit).
 
         The units are spans of ``data``; those that are not ``exact`` there are
         told apart by their text.  ``spell`` gives the texts of units at places,
-        ``encode`` the ids of texts.
+        ``encode`` the ids of texts one after the other, and their numbers.
         """
         size = ends - starts
         short = size * data.itemsize <= 8 * self.words
@@ -86,7 +86,8 @@ class UnitIds:
     def _long_ids(self, units: list[str], encode) -> list[np.ndarray]:
         new = list(dict.fromkeys(u for u in units if u not in self._long))
         if new:
-            fresh = dict(zip(new, (np.asarray(x, self.dtype) for x in encode(new))))
+            ids, count = encode(new)
+            fresh = dict(zip(new, np.split(np.asarray(ids, self.dtype), np.cumsum(count)[:-1])))
             got = [fresh[u] if u in fresh else self._long[u] for u in units]
             size = sum(map(len, new))
             if self._long_size + size > self.long_bytes:
@@ -115,10 +116,8 @@ class UnitIds:
         new = ~(found[0][0] | found[1][0])
         fresh = self._empty()
         if new.any():
-            got = encode(spell(place[first[new]]))
-            count = np.fromiter(map(len, got), np.int32, len(got))
-            ids = np.concatenate([np.asarray(x, self.dtype) for x in got])
-            fresh = uniq[new], np.cumsum(count, dtype=np.int64) - count, count, mine[new], ids
+            ids, count = encode(spell(place[first[new]]))
+            fresh = uniq[new], np.cumsum(count, dtype=np.int64) - count, count.astype(np.int32), mine[new], np.asarray(ids, self.dtype)
         (hit0, at0), (hit1, at1) = found
         t0, t1 = self._tiers
         start, count = np.zeros(len(uniq), np.int64), np.zeros(len(uniq), np.int64)

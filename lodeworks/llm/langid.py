@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import require
+from .textio import released
 
 #: Texts that a language's model is fitted on, at most (a bounded sample, by hash).
 FIT_DOCS = 3000
@@ -310,7 +311,7 @@ def with_languages(rows: DataFrame, model: Model, text: str, switch: float, name
         import pyarrow as pa
 
         spans_type = pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64())]))
-        for batch in batches:
+        for batch in released(batches):
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
                 got = list(label_texts(shared.value, part.column(at).to_pylist(), switch))

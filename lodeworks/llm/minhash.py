@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components, join_members
 from .storage import drop, stash
-from .textio import flat, mix, shingle_hashes, slices, word_hashes, word_spans
+from .textio import flat, mix, released, shingle_hashes, slices, word_hashes, word_spans
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -139,7 +139,7 @@ def sign(docs: DataFrame, key: Column, text: str = "text", size: int = SHINGLE,
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in released(batches):
             for lo, rows, h, w, row, _ in _shingled(batch, size):
                 bands = _bands(signatures(h, w, row, len(rows), registers, seed), band).view(np.int64)
                 offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * bands.shape[1])
@@ -167,7 +167,7 @@ def shingle_table(texts: DataFrame, size: int = SHINGLE, registers: int = REGIST
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in released(batches):
             for lo, rows, h, w, row, piece in _shingled(batch, size):
                 sig = signatures(h, w, row, len(rows), registers, seed)
                 if secret:

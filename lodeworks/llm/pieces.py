@@ -23,13 +23,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .textio import released
 from .unitcache import UnitIds
 
 SPACE = "▁"
 #: Distinct units that a worker remembers.
-CACHE_UNITS = 400_000
+CACHE_UNITS = 300_000
 #: Characters that are indexed at a time.
-INDEX_CHARS = 1 << 18
+INDEX_CHARS = 1 << 17
 _START, _UNKNOWN = -2, -1
 _NORMAL, _UNK, _CONTROL, _USER, _BYTE, _UNUSED = 1, 2, 3, 4, 6, 5
 
@@ -215,7 +216,7 @@ class PieceModel:
 
     def follows(self, p: np.ndarray, t: np.ndarray) -> np.ndarray:
         """:meth:`_follows`, remembered by pair; at most pieces squared pairs,
-        forgotten beyond four million."""
+        forgotten beyond a million."""
         free = (p < 0) | (t < 0)
         key = np.where(free, 0, p * len(self.pieces) + t)
         wanted = np.unique(key[~free])
@@ -223,7 +224,7 @@ class PieceModel:
         new = wanted[~np.isin(wanted, known, assume_unique=True)] if len(known) else wanted
         if len(new):
             got = self._follows(new // len(self.pieces), new % len(self.pieces))
-            if len(known) > 4_000_000:
+            if len(known) > 1_000_000:
                 known, value, new = known[:0], value[:0], wanted
                 got = self._follows(new // len(self.pieces), new % len(self.pieces))
             known, value = np.concatenate([known, new]), np.concatenate([value, got])
@@ -266,9 +267,14 @@ class PieceModel:
             column = keys[k][suffixes]
             lo[more], hi[more] = _bound(column, lo[more], hi[more], low[more, k], False), _bound(column, lo[more], hi[more], high[more, k], True)
         times = np.maximum(0, hi - lo)
-        which = np.repeat(np.arange(len(ids)), times)
-        start = suffixes[np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times) + lo[which]]
-        return start, lengths[which], ids[which]
+        which = np.repeat(np.arange(len(ids), dtype=np.int32), times)
+        first = (lo - (np.cumsum(times) - times)).astype(np.int32)
+        start = suffixes.astype(np.int32)[np.arange(len(which), dtype=np.int32) + first[which]]
+        return start, lengths.astype(np.int32)[which], ids.astype(np.int32)[which]
+
+    def _unit_ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = self.encode_units(units)
+        return np.concatenate(got), np.fromiter(map(len, got), np.int64, len(got))
 
     def encode_units(self, units: list[str]) -> list[np.ndarray]:
         """The piece ids of each unit (no unit is empty)."""
@@ -296,7 +302,8 @@ class PieceModel:
             single = np.zeros(len(codes) + 1, bool)
             single[start[size == 1]] = True
             unknown = np.flatnonzero((codes > 0) & ~single[:-1])
-        start, size, piece = np.concatenate([start, unknown]), np.concatenate([size, np.ones(len(unknown), np.int64)]), np.concatenate([piece, np.full(len(unknown), _UNKNOWN)])
+        none = np.full(len(unknown), _UNKNOWN, np.int32)
+        start, size, piece = np.concatenate([start, unknown.astype(np.int32)]), np.concatenate([size, np.ones_like(none)]), np.concatenate([piece, none])
         unit = np.searchsorted(begin, start, side="right") - 1
         direct = np.unique(unit[(piece >= 0) & self.odd[piece]]) if self.bpe else np.empty(0, np.int64)
         # edges by the place of their end in the unit
@@ -374,7 +381,7 @@ class PieceModel:
         ends = np.append(starts[1:], len(cp))
         far = np.concatenate([[0], np.cumsum(cp > 0xFFFF)])  # characters of more than 16 bits
         exact = None if not far[-1] else far[ends] == far[starts]
-        ids, size = known.ids(cp.astype("<u2"), starts, ends, lambda at: [joined[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist())], self.encode_units, exact)
+        ids, size = known.ids(cp.astype("<u2"), starts, ends, lambda at: [joined[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist())], self._unit_ids, exact)
         upto = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(starts, offsets)]
         out = [ids[i:j] for i, j in zip(upto, upto[1:])]
         if not self.byte_fallback:  # a run of unknown characters is one unknown piece
@@ -410,7 +417,7 @@ _WORKER: dict = {}
 def worker_model(path: str) -> tuple[PieceModel, UnitIds]:
     """The worker's model and remembered units, loaded once per process."""
     if _WORKER.get("path") != path:
-        _WORKER.update(path=path, model=PieceModel(path), known=UnitIds(np.int32, CACHE_UNITS))
+        _WORKER.update(path=path, model=PieceModel(path), known=UnitIds(np.int32, CACHE_UNITS, words=4))
     return _WORKER["model"], _WORKER["known"]
 
 
@@ -428,7 +435,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
         import pyarrow as pa
 
         m, known = worker_model(model)
-        for batch in batches:
+        for batch in released(batches):
             for at in range(0, batch.num_rows, 512):
                 block = batch.slice(at, 512)
                 for lo, hi in _slices(block.column(1).to_pylist()):
@@ -446,7 +453,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
     return rows.mapInArrow(run, "doc_id long, ids array<int>" + ", round_trip boolean" * check)
 
 
-def _slices(texts: list, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _slices(texts: list, limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
     lo = size = 0
     for i, t in enumerate(texts):
         size += len(t or "")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -34,6 +35,17 @@ def flat(col) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def released(batches: Iterable) -> Iterator:
+    """The batches of a task; when they are done, memory that the worker has
+    freed goes back to the system, since workers live on between stages."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def slices(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Row ranges that hold about ``limit`` bytes each, one row at least."""
     n, lo = len(offsets) - 1, 0

@@ -90,7 +90,8 @@ def test_unit_store_compares_units(monkeypatch):
         starts = ends - [len(u) for u in units]
         data = np.frombuffer("".join(units).encode(), np.uint8)
         code = lambda some: [np.array([int("1" + u.replace("a", "0").replace("b", "1"), 2)] * (len(u) % 3)) for u in some]
-        ids, size = store.ids(data, starts, ends, lambda at: [units[i] for i in at], code)
+        flat = lambda some: (np.concatenate(code(some)), np.array([len(x) for x in code(some)]))
+        ids, size = store.ids(data, starts, ends, lambda at: [units[i] for i in at], flat)
         assert ids.tolist() == [x for c in code(units) for x in c.tolist()] and size.tolist() == [len(u) % 3 for u in units]
 
 

@@ -11,8 +11,13 @@ from pyspark.sql import types as T
 
 
 def strip(c: Column) -> Column:
-    """Without white space of any script at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Without white space of any script at both ends.
+
+    Most texts begin and end with a visible ASCII character and are left as
+    they are without a pattern.
+    """
+    visible = [F.substring(c, at, 1).between("!", "~") for at in (1, -1)]
+    return F.when(visible[0] & visible[1], c).otherwise(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""))
 
 
 def blank(c: Column) -> Column:
